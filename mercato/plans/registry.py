@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import analyses as A
+from mercato.plans.checks import check_report
 from mercato.plans.pipeline import Pipeline
 
 SEASON_YEARS = (1997, 1998)
@@ -60,7 +61,19 @@ ANALYSES: dict[str, Callable[[Pipeline], DataFrame]] = {
 }
 
 
+CHECK_KEYS = {
+    "dq_not_null": "not_null", "dq_unique": "unique", "dq_accepted_values": "accepted_values",
+    "dq_relationships": "relationships", "dq_unique_combination": "unique_combination",
+    "dq_suite": None,
+}
+
+
+def _checks(kind: str | None) -> Callable[[Pipeline], DataFrame]:
+    return lambda p: check_report(p, kind)
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {k: _layer(k) for k in LAYER_KEYS}
     out.update({k: _on(fn, k) for k, fn in ANALYSES.items()})
+    out.update({k: _on(_checks(kind), k) for k, kind in CHECK_KEYS.items()})
     return out
