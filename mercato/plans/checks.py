@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from mercato.operators.quality import (Check, accepted_values, not_null, relationships,
                                        run_checks, unique, unique_combination)
-from mercato.plans.pipeline import Pipeline
+from mercato.plans.layers import Layers
 
 # Accepted order statuses, payment types and review scores.
 ORDER_STATUSES = ("created", "approved", "invoiced", "processing", "shipped", "delivered",
@@ -78,7 +78,7 @@ STAGING_TABLES = ("stg_orders", "stg_order_items", "stg_order_payments", "stg_or
 MART_TABLES = ("fct_orders", "mart_category_performance", "mart_seller_performance")
 
 
-def check_frames(p: Pipeline) -> dict[str, DataFrame]:
+def check_frames(p: Layers) -> dict[str, DataFrame]:
     frames = dict(p.raw.as_dict())
     frames.update({t: getattr(p, t) for t in STAGING_TABLES + MART_TABLES})
     return frames
@@ -88,5 +88,5 @@ def checks_of_kind(kind: str | None) -> list[Check]:
     return [c for c in ALL_CHECKS if kind is None or c.kind == kind]
 
 
-def check_report(p: Pipeline, kind: str | None = None) -> DataFrame:
+def check_report(p: Layers, kind: str | None = None) -> DataFrame:
     return run_checks(check_frames(p), checks_of_kind(kind))

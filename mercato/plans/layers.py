@@ -15,12 +15,12 @@ from mercato.plans import intermediate, marts, staging
 from mercato.sources.testdata import RawTables, raw_tables_from_testdata
 
 
-class Pipeline:
+class Layers:
     def __init__(self, raw: RawTables):
         self.raw = raw
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Layers":
         return cls(raw_tables_from_testdata(spark, sf_dir))
 
     # staging

@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import analyses as A
+from mercato.plans import extensions as X
 from mercato.plans.checks import check_report
-from mercato.plans.pipeline import Pipeline
+from mercato.plans.generic import GENERIC
+from mercato.plans.io_keys import IO_KEYS
+from mercato.plans.layers import Layers
 
 SEASON_YEARS = (1997, 1998)
 FOCUS_STATE = "NATION_7"
@@ -23,14 +26,14 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _layer(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(Pipeline.from_testdata(spark, sf_dir), name)
+        return getattr(Layers.from_testdata(spark, sf_dir), name)
     run.__name__ = name
     return run
 
 
-def _on(fn: Callable[[Pipeline], DataFrame], name: str) -> QueryFn:
+def _on(fn: Callable[[Layers], DataFrame], name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Pipeline.from_testdata(spark, sf_dir))
+        return fn(Layers.from_testdata(spark, sf_dir))
     run.__name__ = name
     return run
 
@@ -42,7 +45,7 @@ LAYER_KEYS = [
     "fct_orders", "mart_category_performance", "mart_seller_performance",
 ]
 
-ANALYSES: dict[str, Callable[[Pipeline], DataFrame]] = {
+ANALYSES: dict[str, Callable[[Layers], DataFrame]] = {
     "late_rate_by_category": lambda p: A.late_rate_by_category(p.int_order_items_enriched,
                                                                p.int_orders_enriched),
     "promised_vs_actual": lambda p: A.promised_vs_actual(p.fct_orders),
@@ -68,12 +71,27 @@ CHECK_KEYS = {
 }
 
 
-def _checks(kind: str | None) -> Callable[[Pipeline], DataFrame]:
+def _checks(kind: str | None) -> Callable[[Layers], DataFrame]:
     return lambda p: check_report(p, kind)
 
 
+EXTENSIONS: dict[str, Callable[[Layers], DataFrame]] = {
+    "ext_seasonality_annualised": lambda p: X.ext_seasonality_annualised(
+        p.mart_category_performance, years=SEASON_YEARS),
+    "ext_cohort_fixed_window": lambda p: X.ext_cohort_fixed_window(p.fct_orders),
+    "ext_seller_sla": lambda p: X.ext_seller_sla(p.int_order_items_enriched, p.fct_orders),
+    "ext_order_payments": lambda p: X.ext_order_payments(p.stg_order_payments, p.fct_orders),
+    "ext_route_distance": lambda p: X.ext_route_distance(p.int_order_items_enriched, p.fct_orders,
+                                                         p.stg_geolocation),
+    "ext_lorenz_gini": lambda p: X.ext_lorenz_gini(p.mart_seller_performance),
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {k: _layer(k) for k in LAYER_KEYS}
     out.update({k: _on(fn, k) for k, fn in ANALYSES.items()})
     out.update({k: _on(_checks(kind), k) for k, kind in CHECK_KEYS.items()})
+    out.update({k: _on(fn, k) for k, fn in GENERIC.items()})
+    out.update({k: _on(fn, k) for k, fn in EXTENSIONS.items()})
+    out.update(IO_KEYS)
     return out
