@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import intermediate, marts, staging
+from mercato.schemas import RAW_TABLE_NAMES
 from mercato.sources.testdata import RawTables, raw_tables_from_testdata
 
 
@@ -23,6 +24,12 @@ class Layers:
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Layers":
         return cls(raw_tables_from_testdata(spark, sf_dir))
 
+    @classmethod
+    def from_raw_dir(cls, spark: SparkSession, raw_dir: str) -> "Layers":
+        """Layers over raw tables already stored as parquet (``<raw_dir>/<table>``)."""
+        base = raw_dir.rstrip("/")
+        return cls(RawTables(**{n: spark.read.parquet(f"{base}/{n}") for n in RAW_TABLE_NAMES}))
+
     # staging
     @cached_property
     def stg_orders(self) -> DataFrame:
