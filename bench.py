@@ -67,17 +67,17 @@ def main():
         "late_rate_by_category": lambda: A.late_rate_by_category(items, fct),
         "promised_vs_actual": lambda: A.promised_vs_actual(fct),
         "late_by_route": lambda: A.late_by_route(items, fct),
-        "category_quadrants": lambda: A.category_quadrants(cat),
+        "category_quadrants": lambda: A.category_quadrants(cat, materialize=False),
         "freight_bucket_satisfaction": lambda: A.freight_bucket_satisfaction(fct),
         "seasonality_by_category": lambda: A.seasonality_by_category(cat, years=(1997, 1998)),
         "region_comparison": lambda: A.region_comparison(sel, focus="NATION_7"),
-        "revenue_pareto": lambda: A.revenue_pareto(sel),
-        "volume_quality_quintiles": lambda: A.volume_quality_quintiles(sel),
+        "revenue_pareto": lambda: A.revenue_pareto(sel, materialize=False),
+        "volume_quality_quintiles": lambda: A.volume_quality_quintiles(sel, materialize=False),
         "cohort_repurchase": lambda: A.cohort_repurchase(fct),
         "repeat_vs_new": lambda: A.repeat_vs_new(fct),
         "satisfaction_by_state": lambda: A.satisfaction_by_state(fct),
         "ext_route_distance": lambda: X.ext_route_distance(items, fct, layers.stg_geolocation),
-        "ext_lorenz_gini": lambda: X.ext_lorenz_gini(sel),
+        "ext_lorenz_gini": lambda: X.ext_lorenz_gini(sel, materialize=False),
     }
     for name, make in runs.items():
         timed(name, lambda make=make: make().collect())

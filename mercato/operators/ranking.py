@@ -13,16 +13,26 @@ ranks are deterministic.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.session import scratch_path
+
 MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 2_000_000
 SAMPLE_PER_BUCKET = 40
 
 
+def write_scratch_table(df: DataFrame, prefix: str) -> DataFrame:
+    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back (lineage cut)."""
+    path = scratch_path(df.sparkSession, f"{prefix}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _bucket_count(n: int, rows_per_bucket: int) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
 
@@ -31,12 +41,18 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], *, descending: bool =
                 rank_col: str = "rank", running_sum: str | None = None,
                 running_col: str = "running_sum", total_count_col: str | None = None,
                 total_sum_col: str | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
-                buckets: int | None = None, seed: int = 17) -> DataFrame:
+                buckets: int | None = None, seed: int = 17,
+                materialize: bool = False) -> DataFrame:
     """Add a 1-based ``rank_col`` over ``order_cols`` (optionally a running sum).
 
     ``total_count_col`` / ``total_sum_col`` attach ``count(*) over ()`` and
-    ``sum(running_sum) over ()``.
+    ``sum(running_sum) over ()``. The input is read up to four times (count,
+    sample, ranking, offsets); with ``materialize=True`` it is first written as a
+    table under the shared checkpoint folder, so a lazy upstream chain runs once
+    and lineage is cut.
     """
+    if materialize:
+        df = write_scratch_table(df, "rank-input")
     order_cols = list(order_cols)
     key = F.struct(*[F.col(c).alias(c) for c in order_cols])
     n = df.count()

@@ -77,7 +77,7 @@ def late_by_route(items_enriched: DataFrame, fct: DataFrame, min_orders: int = 1
 
 
 def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int = 4,
-                       rows_per_bucket: int | None = None) -> DataFrame:
+                       rows_per_bucket: int | None = None, materialize: bool = True) -> DataFrame:
     """Revenue quartile x review quartile classification of categories."""
     by_category = mart_category.groupBy("category").agg(
         F.sum("category_revenue").cast("decimal(38,2)").alias("total_revenue"),
@@ -91,9 +91,10 @@ def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int =
     ).where(F.col("total_orders") >= min_orders)
     kw = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     ranked = global_rank(by_category, ["total_revenue", "category"], rank_col="__rr",
-                         total_count_col="__n", **kw)
+                         total_count_col="__n", materialize=materialize, **kw)
     ranked = ranked.withColumn("revenue_quartile", ntile_from_rank("__rr", "__n", n))
-    ranked = global_rank(ranked, ["weighted_review_score", "category"], rank_col="__vr", **kw)
+    ranked = global_rank(ranked, ["weighted_review_score", "category"], rank_col="__vr",
+                         materialize=materialize, **kw)
     ranked = ranked.withColumn("review_quartile", ntile_from_rank("__vr", "__n", n))
     rq, vq = F.col("revenue_quartile"), F.col("review_quartile")
     label = (F.when((rq == n) & (vq == n), "vaca_leiteira")
@@ -163,14 +164,14 @@ def region_comparison(mart_seller: DataFrame, focus: str = "SP", min_orders: int
 
 
 def pareto_curve(mart_seller: DataFrame, rows_per_bucket: int | None = None,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, materialize: bool = True) -> DataFrame:
     """Sellers ranked by revenue with their cumulative share of revenue."""
     kw = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     ranked = global_rank(
         mart_seller.select("seller_id", "seller_state", "seller_revenue", "total_orders"),
         ["seller_revenue", "seller_id"], descending=True, rank_col="rank_revenue",
         running_sum="seller_revenue", running_col="__cum", total_count_col="total_sellers",
-        total_sum_col="__total", buckets=buckets, **kw)
+        total_sum_col="__total", buckets=buckets, materialize=materialize, **kw)
     return ranked.select(
         "seller_id", "seller_state", "seller_revenue", "total_orders", "rank_revenue",
         "total_sellers",
@@ -181,13 +182,13 @@ def pareto_curve(mart_seller: DataFrame, rows_per_bucket: int | None = None,
 
 
 def revenue_pareto(mart_seller: DataFrame, cuts: Sequence[float] = PARETO_CUTS,
-                   rows_per_bucket: int | None = None) -> DataFrame:
+                   rows_per_bucket: int | None = None, materialize: bool = True) -> DataFrame:
     """Cumulative revenue share and seller count at each top-x% cut, in one pass.
 
     A single global aggregate with one conditional max/count per cut (partial
     aggregation, no union of repeated scans); an empty cut yields (null, 0).
     """
-    curve = pareto_curve(mart_seller, rows_per_bucket=rows_per_bucket)
+    curve = pareto_curve(mart_seller, rows_per_bucket=rows_per_bucket, materialize=materialize)
     inside = [F.col("seller_pct") <= F.lit(float(c)) for c in cuts]
     aggs = []
     for i, cond in enumerate(inside):
@@ -206,12 +207,13 @@ def _pct(c) -> str:
 
 
 def volume_quality_quintiles(mart_seller: DataFrame, n: int = 5,
-                             rows_per_bucket: int | None = None) -> DataFrame:
+                             rows_per_bucket: int | None = None, materialize: bool = True) -> DataFrame:
     """Sellers in n volume buckets (ntile by total orders) with weighted quality."""
     kw = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     ranked = global_rank(mart_seller.select("seller_id", "total_orders", "avg_review_score",
                                             "avg_days_to_deliver", "pct_late_orders"),
-                         ["total_orders", "seller_id"], rank_col="__r", total_count_col="__n", **kw)
+                         ["total_orders", "seller_id"], rank_col="__r", total_count_col="__n",
+                         materialize=materialize, **kw)
     bucketed = ranked.withColumn("volume_bucket", ntile_from_rank("__r", "__n", n))
     return bucketed.groupBy("volume_bucket").agg(
         F.count(F.lit(1)).alias("qtd_sellers"),

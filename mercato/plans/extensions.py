@@ -104,9 +104,9 @@ def ext_route_distance(items_enriched: DataFrame, fct: DataFrame, geolocation: D
     ).orderBy("band_rank").drop("band_rank"))
 
 
-def ext_lorenz_gini(mart_seller: DataFrame) -> DataFrame:
+def ext_lorenz_gini(mart_seller: DataFrame, materialize: bool = True) -> DataFrame:
     """Gini coefficient of seller revenue from the ranked Pareto curve (one row)."""
-    curve = A.pareto_curve(mart_seller)
+    curve = A.pareto_curve(mart_seller, materialize=materialize)
     asc_rank = (F.col("total_sellers") + 1 - F.col("rank_revenue")).cast("double")
     x = F.col("seller_revenue").cast("double")
     agg = curve.agg(F.count(F.lit(1)).alias("sellers"),

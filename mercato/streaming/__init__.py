@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled pipeline is batch only: ingest is a full reload of nine files and
+no operator uses event time, watermarks or state. Nothing here is needed to
+run any query of the library.
+"""
