@@ -30,21 +30,42 @@ def _delivered(orders_enriched: DataFrame, cols) -> DataFrame:
     return orders_enriched.where(F.col("order_status") == "delivered").select("order_id", *cols)
 
 
+LINE_ITEM_COLUMNS = ("order_id", "order_item_id", "product_id", "seller_id", "seller_state",
+                     "seller_city", "product_category_name_en", "item_price", "item_gross_value",
+                     "item_freight_ratio_pct", "product_weight_g")
+LINE_ORDER_COLUMNS = ("review_score", "is_late", "days_to_deliver", "delivery_delay_days",
+                      "purchased_at", "purchase_month", "purchase_year")
+
+
+def delivered_item_lines(items_enriched: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    """Items of delivered orders with the order attributes both marts read.
+
+    One join on ``order_id``. ``build_marts`` persists it so both marts (four
+    aggregation branches) share a single shuffle of the item fact, and the
+    order-grain aggregates reuse its ``order_id`` partitioning.
+    """
+    return (items_enriched.select(*LINE_ITEM_COLUMNS)
+            .join(_delivered(orders_enriched, LINE_ORDER_COLUMNS), "order_id"))
+
+
 def mart_category_performance(items_enriched: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    return mart_category_from_lines(delivered_item_lines(items_enriched, orders_enriched))
+
+
+def mart_seller_performance(items_enriched: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    return mart_seller_from_lines(delivered_item_lines(items_enriched, orders_enriched))
+
+
+def mart_category_from_lines(lines: DataFrame) -> DataFrame:
     """Grain (category, purchase year, purchase month) over delivered orders.
 
     Level 1 collapses items to (category, month, order) so an order counts once
-    per category; it groups by a superset of the join key and therefore reuses
-    the join's partitioning. Level 2 rolls up to the mart grain with partial
-    aggregation, then meets the distinct-seller count on the same three keys.
+    per category; it groups by a superset of the join key, so it needs no new
+    shuffle. Level 2 rolls up to the mart grain with partial aggregation and
+    meets the distinct-seller count on the same three keys.
     """
-    orders = _delivered(orders_enriched, ["review_score", "is_late", "purchase_month", "purchase_year"])
-    j = (items_enriched.select(
-            F.col("product_category_name_en").alias("category"), "order_id", "order_item_id",
-            "seller_id", "item_price", "item_gross_value", "item_freight_ratio_pct",
-            "product_weight_g")
-         .join(orders, "order_id"))
     keys = ["category", "purchase_year", "purchase_month"]
+    j = lines.withColumnRenamed("product_category_name_en", "category")
     category_orders = j.groupBy(*keys, "order_id").agg(
         F.any_value("review_score").alias("review_score"),
         F.any_value("is_late").alias("is_late"),
@@ -73,28 +94,28 @@ def mart_category_performance(items_enriched: DataFrame, orders_enriched: DataFr
         "avg_review_score", "positive_reviews", "negative_reviews", "late_orders")
 
 
-def mart_seller_performance(items_enriched: DataFrame, orders_enriched: DataFrame) -> DataFrame:
-    """One row per seller over delivered orders (all time)."""
-    orders = _delivered(orders_enriched, ["review_score", "is_late", "days_to_deliver",
-                                          "delivery_delay_days", "purchased_at"])
-    j = (items_enriched.select("seller_id", "order_id", "product_id", "product_category_name_en",
-                               "item_price", "item_gross_value", "seller_state", "seller_city")
-         .join(orders, "order_id"))
-    seller_orders = j.groupBy("seller_id", "order_id").agg(
-        *[F.any_value(c).alias(c) for c in ("review_score", "is_late", "days_to_deliver",
-                                             "delivery_delay_days", "purchased_at",
-                                             "seller_state", "seller_city")],
+ORDER_ATTRS = ("review_score", "is_late", "days_to_deliver", "delivery_delay_days", "purchased_at")
+
+
+def mart_seller_from_lines(lines: DataFrame) -> DataFrame:
+    """One row per seller over delivered orders (all time).
+
+    Seller state and city depend on the seller, so they are grouping columns
+    rather than string any_value buffers (which would force sort-based
+    aggregation); order attributes depend on the order (fixed-width any_value).
+    """
+    who = ["seller_id", "seller_state", "seller_city"]
+    seller_orders = lines.groupBy(*who, "order_id").agg(
+        *[F.any_value(c).alias(c) for c in ORDER_ATTRS],
         F.sum("item_price").alias("order_seller_revenue"),
         F.sum("item_gross_value").alias("order_seller_gross_value"),
     )
-    catalog = j.groupBy("seller_id").agg(
+    catalog = lines.groupBy("seller_id").agg(
         F.countDistinct("product_id").alias("unique_products"),
         F.countDistinct("product_category_name_en").alias("unique_categories"),
         round_half_up(avg_money("item_price"), 2).alias("avg_item_price"),
     )
-    per_seller = seller_orders.groupBy("seller_id").agg(
-        F.any_value("seller_state").alias("seller_state"),
-        F.any_value("seller_city").alias("seller_city"),
+    per_seller = seller_orders.groupBy(*who).agg(
         F.count(F.lit(1)).alias("total_orders"),
         money_sum("order_seller_revenue").alias("seller_revenue"),
         money_sum("order_seller_gross_value").alias("seller_gross_value"),
