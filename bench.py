@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +21,7 @@ from mercato.plans.checks import (MART_CHECKS, RAW_CHECKS, STAGING_CHECKS,  # no
                                   check_frames)
 from mercato.operators.quality import run_checks  # noqa: E402
 from mercato.plans.layers import Layers  # noqa: E402
-from mercato.session import build_session  # noqa: E402
+from mercato.session import build_session, scratch_path  # noqa: E402
 
 
 def log(*a):
@@ -34,7 +34,7 @@ def main():
     sf = sf_dir.rsplit("sf", 1)[-1]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
-    out_dir = tempfile.mkdtemp(prefix="mercato-bench-")
+    out_dir = scratch_path(spark, f"bench-{uuid.uuid4().hex}")
 
     # warm-up on the smallest scale (JIT, codegen caches, file listing)
     warm = Layers.from_testdata(spark, "/root/testdata/sf0.001")

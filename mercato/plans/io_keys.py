@@ -13,7 +13,9 @@ from mercato.plans import staging
 from mercato.plans.layers import Layers
 from mercato.schemas import RAW_TABLE_NAMES
 from mercato.session import scratch_path
-from mercato.sources.raw import RAW_SOURCES, ingest_all, profile, read_raw_csv
+from pyspark.sql import functions as F
+
+from mercato.sources.raw import RAW_SOURCES, ingest_all, profile, read_raw_csv, validate_frame
 from mercato.sources.sinks import read_table, register_views, run_sql, write_table
 
 
@@ -73,5 +75,29 @@ def sink_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, like=mart)
 
 
+def src_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validate every raw table (raises when empty or with duplicate columns); one row each."""
+    raw = Layers.from_testdata(spark, sf_dir).raw.as_dict()
+    checked = {name: validate_frame(df, name) for name, df in raw.items()}
+    return profile(checked).select("table_name", "row_count", "column_count",
+                                   F.lit("accepted").alias("validation"))
+
+
+def sink_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact written with a truncating write disposition and read back."""
+    fct = Layers.from_testdata(spark, sf_dir).fct_orders
+    path = scratch_path(spark, "fct_orders")
+    write_table(fct, path, mode="WRITE_TRUNCATE")
+    return read_table(spark, path, like=fct)
+
+
+def sink_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging tables materialised as views and read back by name."""
+    layers = Layers.from_testdata(spark, sf_dir)
+    register_views({"stg_customers": layers.stg_customers, "stg_sellers": layers.stg_sellers})
+    return spark.table("stg_customers")
+
+
 IO_KEYS = {"src_raw_csv": src_raw_csv, "src_profile": src_profile, "src_ingest_all": src_ingest_all,
-           "src_sql_query": src_sql_query, "sink_mart": sink_mart}
+           "src_sql_query": src_sql_query, "sink_mart": sink_mart, "src_validate": src_validate,
+           "sink_table": sink_table, "sink_view": sink_view}
