@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from mercato.session import scratch_path
 
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 1024
 ROWS_PER_BUCKET = 2_000_000
 SAMPLE_PER_BUCKET = 40
 
@@ -33,6 +33,15 @@ def write_scratch_table(df: DataFrame, prefix: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _search(key: Column, bounds: list, lo: int, hi: int) -> Column:
+    """Index in [lo, hi] of the bucket holding ``key`` given sorted ``bounds``."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key > bounds[mid], _search(key, bounds, mid + 1, hi)) \
+        .otherwise(_search(key, bounds, lo, mid))
+
+
 def _bucket_count(n: int, rows_per_bucket: int) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
 
@@ -72,21 +81,36 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], *, descending: bool =
             lit = F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in fields])
             if not bounds or row != bounds[-1][0]:
                 bounds.append((row, lit))
-        # bucket = number of bounds strictly below the row's key (ascending order)
-        asc_bucket = sum((F.when(key > b, 1).otherwise(0) for _, b in bounds), F.lit(0))
+        # bucket = number of bounds strictly below the row's key (ascending order),
+        # found by a balanced binary search: log2(buckets) comparisons per row
+        asc_bucket = _search(key, [b for _, b in bounds], 0, len(bounds))
         bucket = (F.lit(len(bounds)) - asc_bucket) if descending else asc_bucket
 
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     staged = df.withColumn("_gr_bucket", bucket)
     w = Window.partitionBy("_gr_bucket").orderBy(*sort)
+    upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
     staged = staged.withColumn("_gr_local_rank", F.row_number().over(w))
-    aggs = [F.count(F.lit(1)).alias("_gr_n")]
     if running_sum:
-        staged = staged.withColumn(
-            "_gr_local_sum", F.sum(running_sum).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        aggs.append(F.sum(running_sum).alias("_gr_s"))
+        staged = staged.withColumn("_gr_local_sum", F.sum(running_sum).over(upto_here))
+
+    if nb == 1:
+        # One bucket (at most rows_per_bucket rows): totals come from the same window
+        # partition; no offsets and no join.
+        whole = Window.partitionBy("_gr_bucket")
+        out = staged.withColumn(rank_col, F.col("_gr_local_rank").cast("bigint"))
+        if running_sum:
+            out = out.withColumn(running_col, F.col("_gr_local_sum"))
+        if total_count_col:
+            out = out.withColumn(total_count_col, F.count(F.lit(1)).over(whole).cast("bigint"))
+        if total_sum_col and running_sum:
+            out = out.withColumn(total_sum_col, F.sum(running_sum).over(whole))
+        return out.drop(*[c for c in out.columns if c.startswith("_gr_")])
 
     # One row per bucket: prefix offsets and whole-table totals over <= nb rows.
+    aggs = [F.count(F.lit(1)).alias("_gr_n")]
+    if running_sum:
+        aggs.append(F.sum(running_sum).alias("_gr_s"))
     per_bucket = df.withColumn("_gr_bucket", bucket).groupBy("_gr_bucket").agg(*aggs)
     before = Window.orderBy("_gr_bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()

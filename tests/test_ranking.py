@@ -16,7 +16,7 @@ def _frame(spark, n, seed):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("buckets", [1, 3, 8])
+@pytest.mark.parametrize("buckets", [1, 3, 8, 40])
 def test_rank_and_running_sum_match_window(spark, descending, buckets):
     df = _frame(spark, 400, buckets)
     order = [F.col("k").desc(), F.col("id").desc()] if descending else [F.col("k").asc(), F.col("id").asc()]
