@@ -6,10 +6,13 @@ local[$BENCH_CPUS] and prints ONE JSON line with per-step seconds.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import uuid
+from collections import defaultdict
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,12 +31,40 @@ def log(*a):
     print(*a, file=sys.stderr, flush=True)
 
 
+def shuffle_bytes_by_group(event_dir: str) -> dict[str, int]:
+    """Sum shuffle bytes written per job group from Spark's JSON event log."""
+    stage_group: dict[int, str] = {}
+    written: dict[str, int] = defaultdict(int)
+    for path in sorted(glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)):
+        if os.path.isdir(path):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    metrics = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if group:
+                        written[group] += int(metrics.get("Shuffle Bytes Written", 0))
+    return dict(written)
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     sf = sf_dir.rsplit("sf", 1)[-1]
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR") or tempfile.mkdtemp(prefix="mercato-events-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.rolling.enabled": "false",
+                                 "spark.eventLog.compress": "false",
+                                 "spark.eventLog.dir": event_dir})
     out_dir = scratch_path(spark, f"bench-{uuid.uuid4().hex}")
 
     # warm-up on the smallest scale (JIT, codegen caches, file listing)
@@ -43,6 +74,7 @@ def main():
     times: dict[str, float] = {}
 
     def timed(name, fn):
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         res = fn()
         times[name] = round(time.perf_counter() - t0, 3)
@@ -83,10 +115,13 @@ def main():
         timed(name, lambda make=make: make().collect())
 
     total = round(sum(times.values()), 3)
+    version = spark.version
+    spark.stop()  # flushes the event log
+    shuffled = shuffle_bytes_by_group(event_dir)
     print(json.dumps({"metric": "build_plus_analyses_total", "value": total, "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "spark": spark.version}))
-    spark.stop()
+                      "cpus": cpus, "spark": version,
+                      "shuffle_bytes": {k: shuffled.get(k, 0) for k in times}}))
 
 
 if __name__ == "__main__":
