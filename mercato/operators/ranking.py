@@ -7,11 +7,13 @@ offsets (one row per bucket) are added back through a bounded broadcast join.
 
 Requirements: one direction for all sort columns (ASC = nulls first, DESC =
 nulls last, Spark's defaults) and a unique last column (the tie-breaker), so
-ranks are deterministic.
+ranks are deterministic. Sort columns may be numeric, string, date or
+timestamp_ntz.
 """
 
 from __future__ import annotations
 
+import datetime
 import math
 import uuid
 from collections.abc import Sequence
@@ -42,6 +44,13 @@ def _search(key: Column, bounds: list, lo: int, hi: int) -> Column:
         .otherwise(_search(key, bounds, lo, mid))
 
 
+def _literal(value, dtype) -> Column:
+    """A literal of ``dtype``; dates and timestamps go through ISO text (no local-zone shift)."""
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        return F.lit(value.isoformat()).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def _bucket_count(n: int, rows_per_bucket: int) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
 
@@ -78,7 +87,7 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], *, descending: bool =
         fields = df.select(key.alias("k")).schema["k"].dataType.fields
         bounds = []
         for row in picks:
-            lit = F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+            lit = F.struct(*[_literal(row[f.name], f.dataType).alias(f.name) for f in fields])
             if not bounds or row != bounds[-1][0]:
                 bounds.append((row, lit))
         # bucket = number of bounds strictly below the row's key (ascending order),

@@ -53,3 +53,15 @@ def test_multi_bucket_plan_has_no_single_partition_exchange(spark):
         .executedPlan().toString()
     # the only single-partition window runs over the per-bucket offsets (<= 4 rows)
     assert plan.count("SinglePartition") <= 1
+
+
+def test_date_and_timestamp_keys(spark):
+    df = spark.range(300).select(
+        F.col("id"),
+        F.date_add(F.lit("2018-01-01").cast("date"), (F.col("id") % 17).cast("int")).alias("d"),
+        F.expr("timestampadd(HOUR, cast(id % 29 as int), timestamp_ntz'2018-01-01 00:00:00')").alias("t"))
+    for cols in (["d", "id"], ["t", "id"]):
+        w = Window.orderBy(*cols)
+        expected = {r.id: r.rn for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
+        got = global_rank(df, cols, rank_col="rn", buckets=6)
+        assert {r.id: r.rn for r in got.collect()} == expected
