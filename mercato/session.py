@@ -6,15 +6,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on: UTC wall clock for timestamp_ntz <-> date
-# conversions, ANSI arithmetic (division by zero raises, so helpers guard with
-# nullif), adaptive execution for runtime coalescing and skew-join splitting.
+# Settings every job relies on: UTC wall clock, ANSI arithmetic (division by
+# zero raises, so helpers guard with nullif), adaptive execution for runtime
+# coalescing and skew-join splitting. The skew split is forced even where it
+# costs a later exchange: aggregates that reuse a join's partitioning would
+# otherwise keep a hot key's whole partition in one task.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
