@@ -61,3 +61,44 @@ def test_single_bucket_rank_has_no_join(spark):
 def test_window_form_of_latest_review_limits_before_shuffle(spark):
     plan = executed(win_latest(Layers.from_testdata(spark, SF)))
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_order_key_is_split_across_tasks(spark):
+    """One order holding a third of all items: AQE splits its join partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 600_000
+        items = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 40_000).alias("order_id"),
+            F.col("id").alias("order_item_id"), (F.col("id") % 97).alias("product_id"),
+            (F.col("id") % 13).alias("seller_id"), F.lit("SP").alias("seller_state"),
+            F.lit("X").alias("seller_city"),
+            F.concat(F.lit("cat_"), (F.col("id") % 5).cast("string")).alias("product_category_name_en"),
+            F.lit(10).cast("decimal(18,2)").alias("item_price"),
+            F.lit(11).cast("decimal(18,2)").alias("item_gross_value"),
+            F.lit(10.0).alias("item_freight_ratio_pct"), F.lit(100.0).alias("product_weight_g"))
+        orders = spark.range(40_000).select(
+            F.col("id").alias("order_id"), F.lit("delivered").alias("order_status"),
+            F.lit(5).cast("bigint").alias("review_score"), F.lit(False).alias("is_late"),
+            F.lit(3).cast("bigint").alias("days_to_deliver"),
+            F.lit(0).cast("bigint").alias("delivery_delay_days"),
+            F.expr("timestamp_ntz'2018-01-01 00:00:00'").alias("purchased_at"),
+            F.expr("date'2018-01-01'").alias("purchase_month"),
+            F.lit(2018).cast("bigint").alias("purchase_year"))
+        df = M.mart_category_performance(items, orders)
+        plan = executed(df)
+        assert "SortMergeJoin(skew=true)" in plan
+        assert sum(r.total_orders for r in df.collect()) == \
+            items.select("order_id", "product_category_name_en").distinct().count()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
