@@ -68,7 +68,9 @@ def test_hot_order_key_is_split_across_tasks(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.shuffle.partitions": "16"}
     saved = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
