@@ -30,6 +30,25 @@ class Layers:
         base = raw_dir.rstrip("/")
         return cls(RawTables(**{n: spark.read.parquet(f"{base}/{n}") for n in RAW_TABLE_NAMES}))
 
+    VIEW_NAMES = (
+        "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_customers",
+        "stg_sellers", "stg_products", "stg_geolocation", "stg_category_translation",
+        "int_order_items_enriched", "int_orders_aggregated", "int_orders_enriched",
+        "fct_orders", "mart_category_performance", "mart_seller_performance",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Register every layer as a temp view under its model name (for SQL users).
+
+        Views are lazy: a SQL query over them plans the whole chain with
+        Catalyst like the DataFrame functions do.
+        """
+        names = []
+        for name in self.VIEW_NAMES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     # staging
     @cached_property
     def stg_orders(self) -> DataFrame:

@@ -74,3 +74,19 @@ def test_profile_and_sinks_round_trip(spark, tmp_dir):
 def test_sql_over_registered_views(spark):
     register_views({"tiny": spark.createDataFrame([(1,), (2,)], "x long")})
     assert run_sql(spark, "SELECT sum(x) AS s FROM tiny").first().s == 3
+
+
+def test_layers_as_sql_views(spark):
+    from mercato.plans import analyses as A
+    from mercato.plans.layers import Layers
+
+    layers = Layers.from_testdata(spark, "/root/testdata/sf0.001")
+    names = layers.register_views(prefix="v_")
+    assert "v_fct_orders" in names and len(names) == 15
+    sql = spark.sql("""
+        SELECT customer_state, count(*) AS total_orders
+        FROM v_fct_orders WHERE order_status = 'delivered' AND review_score IS NOT NULL
+        GROUP BY customer_state""")
+    expected = {r.customer_state: r.total_orders
+                for r in A.satisfaction_by_state(layers.fct_orders, min_orders=1).collect()}
+    assert {r.customer_state: r.total_orders for r in sql.collect()} == expected
