@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,39 +64,59 @@ def unique_combination(layer, table, cols: Sequence[str]) -> Check:
     return Check(layer, table, "unique_combination", tuple(cols))
 
 
-def _meta(c: Check) -> list:
-    return [F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
-            F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check_name")]
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
+def _s(text) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _v(value) -> str:
+    return _s(value) if isinstance(value, str) else repr(value)
+
+
+def _meta_sql(c: Check) -> str:
+    return (f"'layer', {_s(c.layer)}, 'table_name', {_s(c.table)}, "
+            f"'column_name', {_s(c.column)}, 'check_name', {_s(c.kind)}")
+
+
+# Each part is built from a few SQL expression strings: the plan is the same as
+# with Column objects, but a suite of checks costs tens of driver->JVM calls
+# instead of thousands.
+
 def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    aggs = []
+    counts = []
     for i, c in enumerate(checks):
-        col = F.col(c.columns[0])
+        col = _q(c.columns[0])
         if c.kind == "not_null":
-            aggs.append(F.count_if(col.isNull()).alias(f"f{i}"))
+            counts.append(f"count_if({col} IS NULL) AS f{i}")
         else:
-            aggs.append(F.count_distinct(F.when(~col.isin(*c.values), col)).alias(f"f{i}"))
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(*_meta(c), F.col(f"f{i}").cast("bigint").alias("failures"))
-                     for i, c in enumerate(checks)])
-    return wide.select(F.inline(rows))
+            values = ", ".join(_v(v) for v in c.values)
+            counts.append(f"count(DISTINCT CASE WHEN NOT ({col} IN ({values})) THEN {col} END) AS f{i}")
+    rows = ", ".join(f"named_struct({_meta_sql(c)}, 'failures', CAST(f{i} AS BIGINT))"
+                     for i, c in enumerate(checks))
+    return df.selectExpr(*counts).selectExpr(f"inline(array({rows}))")
+
+
+def _count_row(df: DataFrame, c: Check) -> DataFrame:
+    """One report row: the number of rows of ``df`` as the check's failures."""
+    return df.selectExpr(f"named_struct({_meta_sql(c)}, 'failures', CAST(count(1) AS BIGINT)) AS r") \
+        .selectExpr("r.*")
 
 
 def _duplicates(df: DataFrame, c: Check) -> DataFrame:
-    base = df.select(*c.columns)
+    base = df.selectExpr(*[_q(x) for x in c.columns])
     if c.kind == "unique":
-        base = base.where(F.col(c.columns[0]).isNotNull())
-    dup = base.groupBy(*c.columns).count().where(F.col("count") > 1)
-    return dup.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(*_meta(c), "failures")
+        base = base.where(f"{_q(c.columns[0])} IS NOT NULL")
+    return _count_row(base.groupBy(*c.columns).count().where("count > 1"), c)
 
 
 def _orphans(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
-    pt, pc = c.parent
-    ch = child.select(F.col(c.columns[0]).alias("__k")).where(F.col("__k").isNotNull())
-    pa = parent.select(F.col(pc).alias("__k"))
-    orphans = ch.join(pa, "__k", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(*_meta(c), "failures")
+    _, pc = c.parent
+    ch = child.selectExpr(f"{_q(c.columns[0])} AS __k").where("__k IS NOT NULL")
+    pa = parent.selectExpr(f"{_q(pc)} AS __k")
+    return _count_row(ch.join(pa, "__k", "left_anti"), c)
 
 
 def run_checks(frames: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
@@ -115,9 +134,13 @@ def run_checks(frames: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
             parts.append(_duplicates(frames[c.table], c))
         elif c.kind == "relationships":
             parts.append(_orphans(frames[c.table], frames[c.parent[0]], c))
-    report = reduce(lambda a, b: a.unionByName(b), parts)
-    return report.withColumn(
-        "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+    # pairwise (balanced) unions: each union re-analyses its inputs, so a
+    # left-deep chain would cost quadratic driver time in the number of parts
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0].selectExpr(
+        "*", "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status")
 
 
 def assert_passed(report: DataFrame, layer: str | None = None) -> None:
