@@ -195,14 +195,14 @@ def revenue_pareto(mart_seller: DataFrame, cuts: Sequence[float] = PARETO_CUTS,
         aggs += [F.max(F.when(cond, F.col("revenue_pct_cumulative"))).alias(f"m{i}"),
                  F.count_if(cond).alias(f"c{i}")]
     wide = curve.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(f"top {_pct(c)}%").alias("faixa"),
+    rows = F.array(*[F.struct(F.lit(f"top {pct_label(c)}%").alias("faixa"),
                               F.col(f"m{i}").alias("receita_acumulada_pct"),
                               F.col(f"c{i}").alias("qtd_sellers"))
                      for i, c in enumerate(cuts)])
     return wide.select(F.inline(rows)).orderBy("qtd_sellers", "faixa")
 
 
-def _pct(c) -> str:
+def pct_label(c) -> str:
     return str(int(c)) if float(c).is_integer() else str(c)
 
 

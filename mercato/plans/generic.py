@@ -152,7 +152,7 @@ def op_union_all(p: Layers, cuts=A.PARETO_CUTS) -> DataFrame:
     """The Pareto cut-offs written literally: one filtered aggregate per cut, unioned."""
     curve = A.pareto_curve(p.mart_seller_performance)
     parts = [curve.where(F.col("seller_pct") <= F.lit(float(c))).agg(
-                F.lit(f"top {A._pct(c)}%").alias("faixa"),
+                F.lit(f"top {A.pct_label(c)}%").alias("faixa"),
                 F.max("revenue_pct_cumulative").alias("receita_acumulada_pct"),
                 F.count(F.lit(1)).alias("qtd_sellers"))
              for c in cuts]

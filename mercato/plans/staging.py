@@ -41,8 +41,13 @@ def stg_order_payments(raw: DataFrame) -> DataFrame:
 
 
 def stg_order_reviews(raw: DataFrame) -> DataFrame:
-    """Latest review per order (by answer time; equal times: larger review_id)."""
-    latest = latest_per_key(raw, ["order_id"], ["review_answer_timestamp", "review_id"])
+    """Latest review per order (by answer time; equal times: larger review_id).
+
+    The answer time is cast before ordering, so text input orders by time, not by
+    its characters.
+    """
+    typed = raw.withColumn("review_answer_timestamp", to_ts("review_answer_timestamp"))
+    latest = latest_per_key(typed, ["order_id"], ["review_answer_timestamp", "review_id"])
     return latest.select(
         "review_id", "order_id",
         F.col("review_score").cast("bigint").alias("review_score"),
