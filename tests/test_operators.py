@@ -57,3 +57,29 @@ def test_cohort_fixed_window_counts_only_early_repeats(spark):
     p = Layers(make_raw(spark, customers=customers, orders=orders))
     r = X.ext_cohort_fixed_window(p.fct_orders).first()
     assert (r.cohort_size, r.recompradores_janela) == (2, 1)
+
+
+def test_seller_sla_share_on_time(spark):
+    from tests.helpers import item
+    orders = [order(1, carrier="2018-01-11 10:00:00"), order(2, carrier="2018-01-13 10:00:00"),
+              order(3, status="processing", carrier=None, delivered=None)]
+    items = [item(1, 1, seller_id=10, limit="2018-01-12 00:00:00"),
+             item(2, 1, seller_id=10, limit="2018-01-12 00:00:00"),
+             item(3, 1, seller_id=10, limit="2018-01-12 00:00:00")]
+    p = Layers(make_raw(spark, orders=orders, order_items=items))
+    r = X.ext_seller_sla(p.int_order_items_enriched, p.fct_orders).first()
+    assert (r.shipped_items, r.on_time_items, r.pct_on_time) == (2, 1, 50.0)
+
+
+def test_order_payments_aggregated_before_join(spark):
+    from decimal import Decimal
+    from tests.helpers import D, item
+    payments = [(1, 1, "credit_card", 3, D(80)), (1, 2, " VOUCHER", 1, D(30)), (2, 1, "boleto", 1, D(5))]
+    p = Layers(make_raw(spark, orders=[order(1), order(2), order(3)],
+                        order_items=[item(1, 1, price=100, freight=10)],
+                        order_payments=payments))
+    got = {r.order_id: r for r in X.ext_order_payments(p.stg_order_payments, p.fct_orders).collect()}
+    assert got[1].payment_total == Decimal("110.00") and got[1].payment_count == 2
+    assert got[1].payment_types == 2 and got[1].voucher_value == Decimal("30.00")
+    assert got[1].payment_gap == Decimal("0.00")
+    assert got[3].payment_total is None
