@@ -19,6 +19,14 @@ from mercato.operators import (bucketize, global_rank, ntile_from_rank, share_of
 FREIGHT_EDGES = (5, 10, 15, 20, 30, 50)
 PARETO_CUTS = (1, 5, 10, 20, 50, 100)
 
+# Output labels of the analyses.
+# Category quadrants: high revenue + high review, high revenue + low review,
+# low revenue + high review, low revenue + low review, anything else.
+QUADRANT_LABELS = ("vaca_leiteira", "risco_reputacional", "potencial", "candidata_descontinuar",
+                   "intermediaria")
+OTHER_REGION_LABEL = "Outros"
+REPEAT_LABEL, NEW_LABEL = "recorrente", "novo"
+
 
 def _delivered(df: DataFrame) -> DataFrame:
     return df.where(F.col("order_status") == "delivered")
@@ -97,11 +105,12 @@ def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int =
                          materialize=materialize, **kw)
     ranked = ranked.withColumn("review_quartile", ntile_from_rank("__vr", "__n", n))
     rq, vq = F.col("revenue_quartile"), F.col("review_quartile")
-    label = (F.when((rq == n) & (vq == n), "vaca_leiteira")
-             .when((rq == n) & (vq == 1), "risco_reputacional")
-             .when((rq == 1) & (vq == n), "potencial")
-             .when((rq == 1) & (vq == 1), "candidata_descontinuar")
-             .otherwise("intermediaria"))
+    top_top, top_low, low_top, low_low, other = QUADRANT_LABELS
+    label = (F.when((rq == n) & (vq == n), top_top)
+             .when((rq == n) & (vq == 1), top_low)
+             .when((rq == 1) & (vq == n), low_top)
+             .when((rq == 1) & (vq == 1), low_low)
+             .otherwise(other))
     return ranked.select("category", "total_orders", "total_revenue", "avg_ticket",
                          "weighted_review_score", "pct_late", "revenue_quartile",
                          "review_quartile", label.alias("classificacao")) \
@@ -152,7 +161,7 @@ def seasonality_by_category(mart_category: DataFrame, years: Sequence[int] = (20
 def region_comparison(mart_seller: DataFrame, focus: str = "SP", min_orders: int = 10) -> DataFrame:
     """Sellers of one state against all others (volume-weighted quality)."""
     classified = mart_seller.where(F.col("total_orders") >= min_orders).withColumn(
-        "regiao", F.when(F.col("seller_state") == focus, F.lit(focus)).otherwise(F.lit("Outros")))
+        "regiao", F.when(F.col("seller_state") == focus, F.lit(focus)).otherwise(F.lit(OTHER_REGION_LABEL)))
     return classified.groupBy("regiao").agg(
         F.count(F.lit(1)).alias("qtd_sellers"),
         F.sum("total_orders").cast("bigint").alias("total_pedidos"),
@@ -256,8 +265,8 @@ def repeat_vs_new(fct: DataFrame, min_repeat: int = 2) -> DataFrame:
     classified = delivered.select("order_id", "customer_unique_id", "order_revenue",
                                   "order_freight_value", "review_score", "is_late") \
         .join(summary, "customer_unique_id") \
-        .withColumn("segmento", F.when(F.col("qtd_pedidos") >= min_repeat, "recorrente")
-                    .otherwise("novo"))
+        .withColumn("segmento", F.when(F.col("qtd_pedidos") >= min_repeat, REPEAT_LABEL)
+                    .otherwise(NEW_LABEL))
     return classified.groupBy("segmento").agg(
         F.countDistinct("customer_unique_id").alias("qtd_clientes"),
         F.count(F.lit(1)).alias("qtd_pedidos"),

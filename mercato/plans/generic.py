@@ -95,7 +95,8 @@ def op_self_join_agg(p: Layers) -> DataFrame:
     summary = delivered.groupBy("customer_unique_id").agg(
         F.countDistinct("order_id").alias("qtd_pedidos"))
     return (delivered.select("order_id", "customer_unique_id").join(summary, "customer_unique_id")
-            .withColumn("segmento", F.when(F.col("qtd_pedidos") >= 2, "recorrente").otherwise("novo")))
+            .withColumn("segmento", F.when(F.col("qtd_pedidos") >= 2, A.REPEAT_LABEL)
+                        .otherwise(A.NEW_LABEL)))
 
 
 def op_group_agg(p: Layers) -> DataFrame:
