@@ -21,9 +21,9 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 16, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
     for key, fn in sorted(E.queries().items()):
-        df = fn(spark, sf_dir)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        # the physical plan before execution (after it, the adaptive plan prints
+        # both its final and its initial form)
+        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         exchanges = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
         windows = len(re.findall(r"\bWindow \[", plan))
         hits = [f"{f}×{plan.count(f)}" for f in FLAGS if plan.count(f)]
