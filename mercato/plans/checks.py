@@ -78,9 +78,11 @@ STAGING_TABLES = ("stg_orders", "stg_order_items", "stg_order_payments", "stg_or
 MART_TABLES = ("fct_orders", "mart_category_performance", "mart_seller_performance")
 
 
-def check_frames(p: Layers) -> dict[str, DataFrame]:
-    frames = dict(p.raw.as_dict())
-    frames.update({t: getattr(p, t) for t in STAGING_TABLES + MART_TABLES})
+def check_frames(p: Layers, tables=None) -> dict[str, DataFrame]:
+    """Frames by check-table name (raw tables by their raw name); only ``tables`` if given."""
+    frames = {n: df for n, df in p.raw.as_dict().items() if tables is None or n in tables}
+    frames.update({t: getattr(p, t) for t in STAGING_TABLES + MART_TABLES
+                   if tables is None or t in tables})
     return frames
 
 
@@ -89,4 +91,6 @@ def checks_of_kind(kind: str | None) -> list[Check]:
 
 
 def check_report(p: Layers, kind: str | None = None) -> DataFrame:
-    return run_checks(check_frames(p), checks_of_kind(kind))
+    checks = checks_of_kind(kind)
+    tables = {c.table for c in checks} | {c.parent[0] for c in checks if c.parent}
+    return run_checks(check_frames(p, tables), checks)
