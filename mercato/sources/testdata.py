@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.relational import bounded_broadcast
+
 SOURCE_TABLES = ("orders", "lineitem", "customer", "part", "supplier", "nation")
 
 # Fixed values of the adapter (must equal the oracle's):
@@ -20,6 +22,7 @@ PURCHASE = "timestampadd(HOUR, cast(o_orderkey % 24 as int), o_orderdate)"
 APPROVED = f"timestampadd(HOUR, cast(o_orderkey % 48 as int), {PURCHASE})"
 CENTS = "cast(cast(cast(round({x} * 100) as bigint) as decimal(18,2)) * cast(0.01 as decimal(3,2)) as decimal(18,2))"
 UNTRANSLATED_BRANDS = ("Brand#24", "Brand#25")
+NATION_MAX_ROWS = 1_000  # the nation table has 25 rows; broadcast only while that holds
 
 
 def _score(salt: str) -> str:
@@ -72,7 +75,7 @@ def raw_orders(o: DataFrame) -> DataFrame:
 def raw_customers(o: DataFrame, c: DataFrame, n: DataFrame) -> DataFrame:
     return (o.select("o_orderkey", "o_custkey")
             .join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(F.broadcast(n.select("n_nationkey", "n_name")),
+            .join(bounded_broadcast(n.select("n_nationkey", "n_name"), NATION_MAX_ROWS),
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .selectExpr(
                 "o_orderkey as customer_id",
@@ -156,7 +159,7 @@ def raw_products(p: DataFrame) -> DataFrame:
 
 def raw_sellers(s: DataFrame, n: DataFrame) -> DataFrame:
     return (s.select("s_suppkey", "s_nationkey")
-            .join(F.broadcast(n.select("n_nationkey", "n_name")),
+            .join(bounded_broadcast(n.select("n_nationkey", "n_name"), NATION_MAX_ROWS),
                   F.col("s_nationkey") == F.col("n_nationkey"))
             .selectExpr(
                 "s_suppkey as seller_id",
