@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import table
 from mercato.llm.quality_rules import likelihood_ratios, quality_rules, with_trust
+from mercato.llm.secret_scan import secret_scan, span_text
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    digest = F.sha2(span_text(F.col("base_spans")).cast("binary"), 256)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +26,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_quality_rules": op8_quality_rules}
+    return {"op5_secret_scan": op5_secret_scan, "op8_quality_rules": op8_quality_rules}
 
 
 def llm_oracles() -> dict[str, str]:
