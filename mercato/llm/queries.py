@@ -8,10 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.common import table
+from mercato.llm.mixing import mix
+from mercato.llm.packing import pack
 from mercato.llm.quality_rules import likelihood_ratios, quality_rules, with_trust
 from mercato.llm.secret_scan import secret_scan, span_text
 
 
+def public_tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
     digest = F.sha2(span_text(F.col("base_spans")).cast("binary"), 256)
@@ -25,8 +37,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, ratios).select(*columns)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mix(docs, drop_text=True).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_secret_scan": op5_secret_scan, "op8_quality_rules": op8_quality_rules}
+    return {
+        "op1_packing": op1_packing,
+        "op5_secret_scan": op5_secret_scan,
+        "op8_quality_rules": op8_quality_rules,
+        "op10_mixing": op10_mixing,
+    }
 
 
 def llm_oracles() -> dict[str, str]:
