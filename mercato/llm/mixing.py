@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import GAP_CHARS, WORD_GAP, private, written
+from mercato.llm.common import GAP_CHARS, private, words, written
 
 MOST_PAIRS = 100_000
 SWEEPS = 60
@@ -32,13 +32,6 @@ TARGETS = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 DRAWS = 1 << 53
 
 
-def token_count(text: Column) -> Column:
-    """Words of a text."""
-    parts = F.split(F.coalesce(text, F.lit("")), WORD_GAP)
-    first, last = (F.get(parts, F.lit(0)) == "").cast("int"), ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
-    return (F.size(parts) - first - last).cast("long")
-
-
 def form_topic(text: Column, tokens: Column) -> Column:
     """A topic from the form of the whole text, for tables that have none."""
     t = F.coalesce(text, F.lit(""))
@@ -117,7 +110,7 @@ def rake(cells: DataFrame, targets: dict[str, float | dict] = TARGETS, sweeps: i
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: str | None = None, targets: dict[str, float | dict] = TARGETS, seed: int = 7, drop_text: bool = False) -> DataFrame:
     """``df`` with tokens, topic (if ``topic`` is None), weight, probability and kept added."""
-    out = df.withColumn("tokens", token_count(F.col(text)))
+    out = df.withColumn("tokens", F.size(words(F.col(text))).cast("long"))
     topic_name = topic or "topic"
     if topic is None:
         out = out.withColumn("topic", form_topic(F.col(text), F.col("tokens")))

@@ -1,10 +1,9 @@
 """Rule-based quality filter with a hashed n-gram likelihood ratio as the final verdict.
 
-Features of a text are hashed into ``buckets`` cells: each word and each word's last three
-characters. Two multinomials over the cells are counted over whole tables, one over the trusted
-target texts and one over the raw corpus, both with add-one smoothing. A document's score is the
-mean of ``log p_target(cell) - log p_raw(cell)`` over all its features, so it does not depend on
-length. A fixed threshold decides every document: no sampling, no randomness.
+Each word is hashed into one of ``buckets`` cells. Two multinomials over the cells are counted over
+whole tables, one over the trusted target texts and one over the raw corpus, both with add-one
+smoothing. A document's score is the mean of ``log p_target(cell) - log p_raw(cell)`` over its words,
+so it does not depend on length. A fixed threshold decides every document: no sampling, no randomness.
 
 Defined cases: null text has no words; a document without words scores 0; without any trusted text
 every score is 0. Ties, repeated rows and other columns do not matter: each row is scored alone.
@@ -19,20 +18,14 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import GAP_CHARS, private, words
 
-BUCKETS = 1 << 14
-THRESHOLD = -0.25
+BUCKETS = 1 << 15
+THRESHOLD = -0.3
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
 
-def _cells(word: Column, buckets: int) -> tuple[Column, Column]:
-    """The cells of a word and of its ending."""
-    ending = F.concat(F.lit("\u0001"), F.when(F.length(word) > 3, F.substring(word, -3, 3)).otherwise(word))
-    return F.pmod(F.xxhash64(word), F.lit(buckets)), F.pmod(F.xxhash64(ending), F.lit(buckets))
-
-
 def likelihood_ratios(raw: DataFrame, trusted: Column, text: str = "text", buckets: int = BUCKETS) -> list[float]:
     """Log ratio of each cell: rows where ``trusted`` holds against all rows.
 
@@ -40,7 +33,7 @@ def likelihood_ratios(raw: DataFrame, trusted: Column, text: str = "text", bucke
     ``buckets`` numbers reach the driver whatever the corpus holds.
     """
     each = raw.select(F.coalesce(trusted, F.lit(False)).cast("int").alias("t"), F.explode(words(F.col(text))).alias("w"))
-    each = each.select("t", F.explode(F.array(*_cells(F.col("w"), buckets))).alias("cell"))
+    each = each.select("t", F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("cell"))
     counts = {r.cell: (r.target, r.raw) for r in each.groupBy("cell").agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect()}
     all_target, all_raw = (sum(c[k] for c in counts.values()) for k in (0, 1))
     if not all_target:
@@ -49,14 +42,10 @@ def likelihood_ratios(raw: DataFrame, trusted: Column, text: str = "text", bucke
     return [math.log(counts.get(i, (0, 0))[0] + 1) - math.log(counts.get(i, (0, 0))[1] + 1) + shift for i in range(buckets)]
 
 
-def _score(found: Column, ratios: list[float]) -> Column:
+def _score(hashes: Column, ratios: list[float]) -> Column:
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")  # folded to one literal
-
-    def add(total, w):
-        word, ending = _cells(w, len(ratios))
-        return total + F.get(table, word.cast("int")) + F.get(table, ending.cast("int"))
-
-    return F.when(F.size(found) > 0, F.aggregate(found, F.lit(0.0), add) / (2 * F.size(found))).otherwise(F.lit(0.0))
+    total = F.aggregate(hashes, F.lit(0.0), lambda a, h: a + F.get(table, F.pmod(h, F.lit(len(ratios))).cast("int")))
+    return F.when(F.size(hashes) > 0, total / F.size(hashes)).otherwise(F.lit(0.0))
 
 
 def _covered(ordered: Column) -> Column:
@@ -73,11 +62,13 @@ def _covered(ordered: Column) -> Column:
 
 def quality_features(df: DataFrame, text: str = "text", ratios: list[float] | None = None) -> DataFrame:
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and llr added."""
-    body, found, wins, ordered = private(df, "_body", "_found", "_wins", "_ordered")
-    out = df.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumn(found, words(F.col(text)))
-    w, t = F.col(found), F.col(body)
-    windows = F.when(F.size(w) >= WINDOW, F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
-    out = out.withColumn(wins, windows)
+    body, hashes, two, four, wins, ordered = private(df, "_body", "_hashes", "_two", "_four", "_wins", "_ordered")
+    out = df.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumn(hashes, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)))
+    h, t = F.col(hashes), F.col(body)
+    # hashes of the runs of two, four, then eight words that start at each word
+    joined = lambda c, width: F.zip_with(F.col(c), F.slice(c, width + 1, F.size(c)), lambda a, b: F.xxhash64(a, b))
+    out = out.withColumn(two, joined(hashes, 1)).withColumn(four, joined(two, 2))
+    out = out.withColumn(wins, F.when(F.size(h) >= WINDOW, F.slice(joined(four, 4), 1, F.size(h) - (WINDOW - 1))).otherwise(F.array().cast("array<bigint>")))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0)
     wn = F.col(wins)
     pairs = F.transform(wn, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
@@ -85,14 +76,14 @@ def quality_features(df: DataFrame, text: str = "text", ratios: list[float] | No
     repeated = F.when(F.col(ordered).isNotNull(), _covered(F.col(ordered))).otherwise(F.lit(0).cast("long"))
     out = out.withColumns(
         {
-            "n_words": F.size(w).cast("long"),
+            "n_words": F.size(h).cast("long"),
             "word_chars": F.length(F.translate(t, GAP_CHARS, "")).cast("long"),
             "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
             "n_dup_lines": F.when(F.instr(t, "\n") > 0, F.size(lines) - F.size(F.array_distinct(lines))).otherwise(0).cast("long"),
             "n_repeat_words": repeated,
-            "llr": _score(w, ratios) if ratios is not None else F.lit(0.0),
+            "llr": _score(h, ratios) if ratios is not None else F.lit(0.0),
         }
-    ).drop(body, found, wins, ordered)
+    ).drop(body, hashes, two, four, wins, ordered)
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT))
 
 

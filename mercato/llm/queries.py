@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.common import table
+from mercato.llm.jaccard_join import jaccard_groups
 from mercato.llm.mixing import mix
 from mercato.llm.packing import pack
 from mercato.llm.quality_rules import likelihood_ratios, quality_rules, with_trust
@@ -30,6 +31,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ratios = likelihood_ratios(with_trust(docs, table(spark, sf_dir, "labels")), F.col("trusted"))
@@ -46,10 +51,36 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op5_secret_scan": op5_secret_scan,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
         "op10_mixing": op10_mixing,
     }
 
 
+#: Every pair of documents that share a shingle, on whole sets; components by label passing.
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+         WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh
+  FROM w
+), e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+shared AS (
+  SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS n FROM e l JOIN e r ON l.x = r.x AND l.doc_id <> r.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b
+  WHERE 100 * n >= 85 * (len(p.sh) + len(q.sh) - n)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT s.doc_id, len(any_value(s.sh)) AS n_shingles, min(reach.other) AS component_id
+FROM s JOIN reach ON reach.doc_id = s.doc_id GROUP BY s.doc_id
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op7_jaccard_join": JACCARD_SQL}

@@ -23,10 +23,9 @@ def brute(text, ratios):
     for x in lines:
         dup += x in old
         old.add(x)
-    cell = lambda s: xxhash.xxh64_intdigest(s.encode(), 42) % (1 << 64) if False else _pmod(xxhash.xxh64_intdigest(s.encode(), 42), len(ratios))
-    total = sum(ratios[cell(x)] + ratios[cell("\x01" + x[-3:])] for x in w)
+    total = sum(ratios[_pmod(xxhash.xxh64_intdigest(x.encode(), 42), len(ratios))] for x in w)
     failed = len(w) < 20 or 100 * len(covered) > 30 * len(w)
-    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed), total / (2 * len(w)) if w else 0.0
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed), total / len(w) if w else 0.0
 
 
 def _pmod(h, n):
