@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import table
+from mercato.llm.common import table, text_fold
 from mercato.llm.jaccard_join import jaccard_groups
+from mercato.llm.language_id import identify, learn
 from mercato.llm.mixing import mix
 from mercato.llm.packing import pack
-from mercato.llm.quality_rules import likelihood_ratios, quality_rules, with_trust
+from mercato.llm.quality_classifier import classify, fit
+from mercato.llm.quality_rules import likelihood_ratios, quality_rules
 from mercato.llm.secret_scan import secret_scan, span_text
 
 
@@ -25,19 +27,32 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = classify(docs, fit(docs, table(spark, sf_dir, "labels")), drop_text=True)
+    return scored.select("doc_id", (text_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
     digest = F.sha2(span_text(F.col("base_spans")).cast("binary"), 256)
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = text_fold(F.col("doc_id"), 4) == 2
+    found = identify(docs.select("doc_id", "text"), learn(docs.filter(~held_out)), drop_text=True)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ratios = likelihood_ratios(with_trust(docs, table(spark, sf_dir, "labels")), F.col("trusted"))
+    ratios = likelihood_ratios(docs, table(spark, sf_dir, "labels"))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept"]
     return quality_rules(docs, ratios).select(*columns)
 
@@ -50,7 +65,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_quality_classifier": op2_quality_classifier,
         "op5_secret_scan": op5_secret_scan,
+        "op6_language_id": op6_language_id,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
         "op10_mixing": op10_mixing,
