@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.common import table, text_fold
+from mercato.llm.fingerprints import fingerprints
 from mercato.llm.jaccard_join import jaccard_groups
 from mercato.llm.language_id import identify, learn
 from mercato.llm.mixing import mix
@@ -57,6 +58,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, ratios).select(*columns)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return mix(docs, drop_text=True).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
@@ -70,6 +75,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": op6_language_id,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
+        "op9_fingerprints": op9_fingerprints,
         "op10_mixing": op10_mixing,
     }
 
