@@ -11,6 +11,7 @@ from mercato.llm.common import table, text_fold
 from mercato.llm.fingerprints import fingerprints
 from mercato.llm.jaccard_join import jaccard_groups
 from mercato.llm.language_id import identify, learn
+from mercato.llm.license_scan import license_scan
 from mercato.llm.mixing import mix
 from mercato.llm.packing import pack
 from mercato.llm.quality_classifier import classify, fit
@@ -34,6 +35,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (text_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["name"]))), ",")
+    spans = F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["name"], x["start"], x["upto"])), ",")
+    best = F.coalesce(F.array_max(F.transform("licenses", lambda x: x["coverage"])), F.lit(0.0))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), names.alias("licenses"), best.alias("coverage"), spans.alias("spans"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
     digest = F.sha2(span_text(F.col("base_spans")).cast("binary"), 256)
@@ -71,6 +80,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_quality_classifier": op2_quality_classifier,
+        "op4_license_scan": op4_license_scan,
         "op5_secret_scan": op5_secret_scan,
         "op6_language_id": op6_language_id,
         "op7_jaccard_join": op7_jaccard_join,
