@@ -17,6 +17,7 @@ from mercato.llm.packing import pack
 from mercato.llm.quality_classifier import classify, fit
 from mercato.llm.quality_rules import likelihood_ratios, quality_rules
 from mercato.llm.secret_scan import secret_scan, span_text
+from mercato.llm.suffix_dedup import remove_repeats
 
 
 def public_tokenizer(name: str) -> str:
@@ -35,6 +36,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (text_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
     names = F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["name"]))), ",")
@@ -80,6 +85,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_quality_classifier": op2_quality_classifier,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_license_scan": op4_license_scan,
         "op5_secret_scan": op5_secret_scan,
         "op6_language_id": op6_language_id,
