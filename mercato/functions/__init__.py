@@ -60,25 +60,38 @@ def weighted_mean(x, w, scale: int, guard_zero: bool = False) -> Column:
     return round_half_up(num / den, scale)
 
 
+# The delimiters after which the warehouse's INITCAP starts a new word, besides white space.
+INITCAP_DELIMITERS = "[](){}/|<>!?@\"^#$&~_,.:;*%+-"
+
+
+def trim_space(col) -> Column:
+    """Trim all Unicode white space (tabs, line ends, no-break spaces), not spaces alone."""
+    return F.regexp_replace(_c(col), r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
+
+
 def norm_lower(col) -> Column:
-    return F.lower(F.trim(_c(col)))
+    return F.lower(trim_space(col))
 
 
 def norm_upper(col) -> Column:
-    return F.upper(F.trim(_c(col)))
+    return F.upper(trim_space(col))
 
 
 def norm_title(col) -> Column:
-    return F.initcap(F.trim(_c(col)))
+    """Upper-case the first letter of each word and lower-case the rest; hyphens and the like end words."""
+    ends = "(?<=[\\s" + "".join("\\" + c for c in INITCAP_DELIMITERS) + "])"
+    words = F.split(trim_space(col), ends)
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30)))), "")
 
 
 def zip_text(col, dtype) -> Column:
-    """Zip prefix as text. Numeric input gets its leading zeros back (5 digits)."""
+    """Zip prefix as text. Numeric input gets its leading zeros back (5 digits); longer values stay whole."""
     c = _c(col)
     if isinstance(dtype, StringType):
         return c
     if isinstance(dtype, NumericType):
-        return F.lpad(c.cast("string"), 5, "0")
+        text = c.cast("string")
+        return F.lpad(text, F.greatest(F.length(text), F.lit(5)), F.lit("0"))
     return c.cast("string")
 
 

@@ -1,11 +1,11 @@
 """Reusable relational operators built from DataFrame primitives."""
 
-from mercato.operators.relational import (bounded_broadcast, bucketize, distinct_rows,
+from mercato.operators.relational import (bucketize, distinct_rows,
                                           latest_per_key, share_of_total, topk,
                                           topk_semi_join)
 from mercato.operators.ranking import global_rank, ntile_from_rank
 
 __all__ = [
-    "bounded_broadcast", "bucketize", "distinct_rows", "latest_per_key", "share_of_total",
+    "bucketize", "distinct_rows", "latest_per_key", "share_of_total",
     "topk", "topk_semi_join", "global_rank", "ntile_from_rank",
 ]

@@ -1,21 +1,18 @@
 """Global rank, running sum and ntile without a single-partition window.
 
-``row_number() over (order by ...)`` with no PARTITION BY makes Spark move every
-row into one task. Here the ordering is cut into buckets by literal bounds
-taken from a small sorted sample; each bucket is ranked on its own and bucket
-offsets (one row per bucket) are added back through a bounded broadcast join.
-
-Requirements: one direction for all sort columns (ASC = nulls first, DESC =
-nulls last, Spark's defaults) and a unique last column (the tie-breaker), so
-ranks are deterministic. Sort columns may be numeric, string, date or
-timestamp_ntz.
+``row_number() over (order by ...)`` with no PARTITION BY makes Spark move every row into one task.
+Here the input is range-partitioned on the sort columns and written once to the shared scratch folder
+with the number of its partition; each partition is ranked on its own, and the offsets of the partitions
+before it (one row a partition) are added back. There is one path for every size: the number of
+partitions is Spark's own, sized by adaptive execution.
+
+Requirements: one direction for all sort columns (ASC = nulls first, DESC = nulls last, Spark's
+defaults) and a unique last column (the tie-breaker), so ranks are deterministic and equal leading
+values do not pile up in one range.
 """
 
 from __future__ import annotations
 
-import datetime
-import math
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,114 +20,47 @@ from pyspark.sql import functions as F
 
 from mercato.session import scratch_path
 
-MAX_BUCKETS = 1024
-ROWS_PER_BUCKET = 2_000_000
-SAMPLE_PER_BUCKET = 40
-
 
 def write_scratch_table(df: DataFrame, prefix: str) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and read it back (lineage cut)."""
-    path = scratch_path(df.sparkSession, f"{prefix}-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, prefix)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _search(key: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Index in [lo, hi] of the bucket holding ``key`` given sorted ``bounds``."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key > bounds[mid], _search(key, bounds, mid + 1, hi)) \
-        .otherwise(_search(key, bounds, lo, mid))
-
-
-def _literal(value, dtype) -> Column:
-    """A literal of ``dtype``; dates and timestamps go through ISO text (no local-zone shift)."""
-    if isinstance(value, (datetime.date, datetime.datetime)):
-        return F.lit(value.isoformat()).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _bucket_count(n: int, rows_per_bucket: int) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
-
-
 def global_rank(df: DataFrame, order_cols: Sequence[str], *, descending: bool = False,
                 rank_col: str = "rank", running_sum: str | None = None,
                 running_col: str = "running_sum", total_count_col: str | None = None,
-                total_sum_col: str | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
-                buckets: int | None = None, seed: int = 17,
-                materialize: bool = False) -> DataFrame:
+                total_sum_col: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add a 1-based ``rank_col`` over ``order_cols`` (optionally a running sum).
 
-    ``total_count_col`` / ``total_sum_col`` attach ``count(*) over ()`` and
-    ``sum(running_sum) over ()``. The input is read up to four times (count,
-    sample, ranking, offsets); with ``materialize=True`` it is first written as a
-    table under the shared checkpoint folder, so a lazy upstream chain runs once
-    and lineage is cut.
+    ``total_count_col`` / ``total_sum_col`` attach ``count(*) over ()`` and ``sum(running_sum) over ()``.
+    ``partitions`` fixes the number of ranges; by default Spark chooses.
     """
-    if materialize:
-        df = write_scratch_table(df, "rank-input")
-    order_cols = list(order_cols)
-    key = F.struct(*[F.col(c).alias(c) for c in order_cols])
-    n = df.count()
-    nb = buckets if buckets is not None else _bucket_count(n, rows_per_bucket)
-    nb = max(1, min(nb, max(n, 1)))
-
-    if nb == 1:
-        bucket = F.lit(0)
-    else:
-        fraction = min(1.0, SAMPLE_PER_BUCKET * nb / max(n, 1))
-        sample = (df.select(key.alias("k")).sample(False, fraction, seed)
-                  .orderBy("k").collect())
-        picks = [sample[(len(sample) * i) // nb]["k"] for i in range(1, nb)] if sample else []
-        fields = df.select(key.alias("k")).schema["k"].dataType.fields
-        bounds = []
-        for row in picks:
-            lit = F.struct(*[_literal(row[f.name], f.dataType).alias(f.name) for f in fields])
-            if not bounds or row != bounds[-1][0]:
-                bounds.append((row, lit))
-        # bucket = number of bounds strictly below the row's key (ascending order),
-        # found by a balanced binary search: log2(buckets) comparisons per row
-        asc_bucket = _search(key, [b for _, b in bounds], 0, len(bounds))
-        bucket = (F.lit(len(bounds)) - asc_bucket) if descending else asc_bucket
-
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    staged = df.withColumn("_gr_bucket", bucket)
-    w = Window.partitionBy("_gr_bucket").orderBy(*sort)
-    upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
-    staged = staged.withColumn("_gr_local_rank", F.row_number().over(w))
-    if running_sum:
-        staged = staged.withColumn("_gr_local_sum", F.sum(running_sum).over(upto_here))
-
-    if nb == 1:
-        # One bucket (at most rows_per_bucket rows): totals come from the same window
-        # partition; no offsets and no join.
-        whole = Window.partitionBy("_gr_bucket")
-        out = staged.withColumn(rank_col, F.col("_gr_local_rank").cast("bigint"))
-        if running_sum:
-            out = out.withColumn(running_col, F.col("_gr_local_sum"))
-        if total_count_col:
-            out = out.withColumn(total_count_col, F.count(F.lit(1)).over(whole).cast("bigint"))
-        if total_sum_col and running_sum:
-            out = out.withColumn(total_sum_col, F.sum(running_sum).over(whole))
-        return out.drop(*[c for c in out.columns if c.startswith("_gr_")])
+    ranges = df.repartitionByRange(partitions, *sort) if partitions else df.repartitionByRange(*sort)
+    staged = write_scratch_table(ranges.withColumn("_gr_range", F.spark_partition_id()), "ranges")
 
-    # One row per bucket: prefix offsets and whole-table totals over <= nb rows.
     aggs = [F.count(F.lit(1)).alias("_gr_n")]
     if running_sum:
         aggs.append(F.sum(running_sum).alias("_gr_s"))
-    per_bucket = df.withColumn("_gr_bucket", bucket).groupBy("_gr_bucket").agg(*aggs)
-    before = Window.orderBy("_gr_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = staged.groupBy("_gr_range").agg(*aggs)
+    before = Window.orderBy("_gr_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    offsets = per_bucket.select(
-        "_gr_bucket",
+    offsets = per_range.select(
+        "_gr_range",
         F.coalesce(F.sum("_gr_n").over(before), F.lit(0)).alias("_gr_n_before"),
         F.sum("_gr_n").over(everything).alias("_gr_n_total"),
         *([F.sum("_gr_s").over(before).alias("_gr_s_before"),
            F.sum("_gr_s").over(everything).alias("_gr_s_total")] if running_sum else []))
 
-    out = staged.join(F.broadcast(offsets), "_gr_bucket")
+    w = Window.partitionBy("_gr_range").orderBy(*sort)
+    out = staged.withColumn("_gr_local_rank", F.row_number().over(w))
+    if running_sum:
+        here = w.rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn("_gr_local_sum", F.sum(running_sum).over(here))
+    # one row a partition of the ranges: as many as Spark has shuffle partitions, whatever the data
+    out = out.join(F.broadcast(offsets), "_gr_range")
     out = out.withColumn(rank_col, (F.col("_gr_n_before") + F.col("_gr_local_rank")).cast("bigint"))
     if running_sum:
         out = out.withColumn(running_col, F.when(F.col("_gr_s_before").isNull(), F.col("_gr_local_sum"))

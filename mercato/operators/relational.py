@@ -33,26 +33,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
         .select(*df.columns)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unchanged and the join falls back to a shuffle (or to AQE's own
-    runtime size check).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def bucketize(value, edges: Sequence[float], labels: Sequence[str] | None = None) -> tuple[Column, Column, list[str]]:
+def bucketize(value, edges: Sequence[float], labels: Sequence[str] | None = None,
+              null_label: str | None = None) -> tuple[Column, Column, list[str]]:
     """Left-closed buckets ``[e_i, e_{i+1})`` with an open first and last bucket.
 
     Returns (label column, rank column starting at 1, label list). Null values
-    fall into the last bucket, like a CASE chain whose ELSE catches them.
+    fall into the last bucket, like a CASE chain whose ELSE catches them, or
+    into a bucket of their own behind it when ``null_label`` names one.
     """
     edges = list(edges)
     if labels is None:
@@ -66,6 +57,10 @@ def bucketize(value, edges: Sequence[float], labels: Sequence[str] | None = None
         rank = F.when(cond, F.lit(i + 1)) if rank is None else rank.when(cond, F.lit(i + 1))
     label = label.otherwise(F.lit(labels[-1]))
     rank = rank.otherwise(F.lit(len(edges) + 1))
+    if null_label is not None:
+        label = F.when(v.isNull(), F.lit(null_label)).otherwise(label)
+        rank = F.when(v.isNull(), F.lit(len(edges) + 2)).otherwise(rank)
+        labels = [*labels, null_label]
     return label, rank, list(labels)
 
 

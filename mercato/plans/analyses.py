@@ -74,9 +74,9 @@ def late_by_route(items_enriched: DataFrame, fct: DataFrame, min_orders: int = 1
         "intrastate",
         F.when(F.col("seller_state") == F.col("customer_state"), 1).otherwise(0).cast("bigint"))
     agg = routes.groupBy("seller_state", "customer_state", "intrastate").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        F.count(F.lit(1)).alias("total_orders"),  # rows are distinct per (order, seller state)
         F.count_if("is_late").alias("late_orders"),
-        rate_pct("is_late", F.countDistinct("order_id")).alias("pct_late"),
+        rate_pct("is_late").alias("pct_late"),
         round_half_up(F.avg("days_to_deliver"), 1).alias("avg_days_to_deliver"),
     )
     return topk(agg.where(F.col("total_orders") >= min_orders),
@@ -84,8 +84,7 @@ def late_by_route(items_enriched: DataFrame, fct: DataFrame, min_orders: int = 1
                  F.col("customer_state").asc()], limit)
 
 
-def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int = 4,
-                       rows_per_bucket: int | None = None, materialize: bool = True) -> DataFrame:
+def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int = 4) -> DataFrame:
     """Revenue quartile x review quartile classification of categories."""
     by_category = mart_category.groupBy("category").agg(
         F.sum("category_revenue").cast("decimal(38,2)").alias("total_revenue"),
@@ -97,12 +96,10 @@ def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int =
         round_half_up(F.sum("late_orders") * F.lit(100.0)
                       / F.nullif(F.sum("total_orders"), F.lit(0)), 2).alias("pct_late"),
     ).where(F.col("total_orders") >= min_orders)
-    kw = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     ranked = global_rank(by_category, ["total_revenue", "category"], rank_col="__rr",
-                         total_count_col="__n", materialize=materialize, **kw)
+                         total_count_col="__n")
     ranked = ranked.withColumn("revenue_quartile", ntile_from_rank("__rr", "__n", n))
-    ranked = global_rank(ranked, ["weighted_review_score", "category"], rank_col="__vr",
-                         materialize=materialize, **kw)
+    ranked = global_rank(ranked, ["weighted_review_score", "category"], rank_col="__vr")
     ranked = ranked.withColumn("review_quartile", ntile_from_rank("__vr", "__n", n))
     rq, vq = F.col("revenue_quartile"), F.col("review_quartile")
     top_top, top_low, low_top, low_low, other = QUADRANT_LABELS
@@ -172,15 +169,13 @@ def region_comparison(mart_seller: DataFrame, focus: str = "SP", min_orders: int
     ).orderBy("regiao")
 
 
-def pareto_curve(mart_seller: DataFrame, rows_per_bucket: int | None = None,
-                 buckets: int | None = None, materialize: bool = True) -> DataFrame:
+def pareto_curve(mart_seller: DataFrame) -> DataFrame:
     """Sellers ranked by revenue with their cumulative share of revenue."""
-    kw = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     ranked = global_rank(
         mart_seller.select("seller_id", "seller_state", "seller_revenue", "total_orders"),
         ["seller_revenue", "seller_id"], descending=True, rank_col="rank_revenue",
         running_sum="seller_revenue", running_col="__cum", total_count_col="total_sellers",
-        total_sum_col="__total", buckets=buckets, materialize=materialize, **kw)
+        total_sum_col="__total")
     return ranked.select(
         "seller_id", "seller_state", "seller_revenue", "total_orders", "rank_revenue",
         "total_sellers",
@@ -190,14 +185,13 @@ def pareto_curve(mart_seller: DataFrame, rows_per_bucket: int | None = None,
     )
 
 
-def revenue_pareto(mart_seller: DataFrame, cuts: Sequence[float] = PARETO_CUTS,
-                   rows_per_bucket: int | None = None, materialize: bool = True) -> DataFrame:
+def revenue_pareto(mart_seller: DataFrame, cuts: Sequence[float] = PARETO_CUTS) -> DataFrame:
     """Cumulative revenue share and seller count at each top-x% cut, in one pass.
 
     A single global aggregate with one conditional max/count per cut (partial
     aggregation, no union of repeated scans); an empty cut yields (null, 0).
     """
-    curve = pareto_curve(mart_seller, rows_per_bucket=rows_per_bucket, materialize=materialize)
+    curve = pareto_curve(mart_seller)
     inside = [F.col("seller_pct") <= F.lit(float(c)) for c in cuts]
     aggs = []
     for i, cond in enumerate(inside):
@@ -215,14 +209,11 @@ def pct_label(c) -> str:
     return str(int(c)) if float(c).is_integer() else str(c)
 
 
-def volume_quality_quintiles(mart_seller: DataFrame, n: int = 5,
-                             rows_per_bucket: int | None = None, materialize: bool = True) -> DataFrame:
+def volume_quality_quintiles(mart_seller: DataFrame, n: int = 5) -> DataFrame:
     """Sellers in n volume buckets (ntile by total orders) with weighted quality."""
-    kw = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     ranked = global_rank(mart_seller.select("seller_id", "total_orders", "avg_review_score",
                                             "avg_days_to_deliver", "pct_late_orders"),
-                         ["total_orders", "seller_id"], rank_col="__r", total_count_col="__n",
-                         materialize=materialize, **kw)
+                         ["total_orders", "seller_id"], rank_col="__r", total_count_col="__n")
     bucketed = ranked.withColumn("volume_bucket", ntile_from_rank("__r", "__n", n))
     return bucketed.groupBy("volume_bucket").agg(
         F.count(F.lit(1)).alias("qtd_sellers"),
@@ -239,7 +230,7 @@ def volume_quality_quintiles(mart_seller: DataFrame, n: int = 5,
 def _first_purchase(fct: DataFrame) -> DataFrame:
     return _delivered(fct).groupBy("customer_unique_id").agg(
         F.min("purchase_month").alias("cohort_month"),
-        F.countDistinct("order_id").alias("total_orders"))
+        F.count("order_id").alias("total_orders"))  # order_id is unique in the fact
 
 
 def cohort_repurchase(fct: DataFrame, min_repeat: int = 2) -> DataFrame:
@@ -255,25 +246,23 @@ def cohort_repurchase(fct: DataFrame, min_repeat: int = 2) -> DataFrame:
 def repeat_vs_new(fct: DataFrame, min_repeat: int = 2) -> DataFrame:
     """Orders of repeat buyers against orders of one-time buyers.
 
-    The per-person order count is a group-by joined back on the person (both
-    sides hash-partitioned by person), not a window: a person with a huge
-    share of orders is pre-aggregated map-side and split by AQE in the join.
+    Sums and counts per person, then per segment: the fact is read once and joined with nothing, and a
+    person with a huge share of the orders is combined before the shuffle. Orders without a person
+    belong to no segment.
     """
-    delivered = _delivered(fct)
-    summary = delivered.groupBy("customer_unique_id").agg(
-        F.countDistinct("order_id").alias("qtd_pedidos"))
-    classified = delivered.select("order_id", "customer_unique_id", "order_revenue",
-                                  "order_freight_value", "review_score", "is_late") \
-        .join(summary, "customer_unique_id") \
-        .withColumn("segmento", F.when(F.col("qtd_pedidos") >= min_repeat, REPEAT_LABEL)
-                    .otherwise(NEW_LABEL))
-    return classified.groupBy("segmento").agg(
-        F.countDistinct("customer_unique_id").alias("qtd_clientes"),
-        F.count(F.lit(1)).alias("qtd_pedidos"),
-        round_half_up(avg_money("order_revenue"), 2).alias("avg_ticket"),
-        round_half_up(avg_money("order_freight_value"), 2).alias("avg_freight"),
-        round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
-        rate_pct("is_late").alias("pct_late"),
+    means = {"order_revenue": "avg_ticket", "order_freight_value": "avg_freight", "review_score": "avg_review_score"}
+    person = _delivered(fct).where(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
+        F.count("order_id").alias("orders"),
+        F.count_if("is_late").alias("late"),
+        *[F.sum(c).alias(f"{c}_sum") for c in means],
+        *[F.count(c).alias(f"{c}_n") for c in means])
+    segment = F.when(F.col("orders") >= min_repeat, REPEAT_LABEL).otherwise(NEW_LABEL)
+    return person.groupBy(segment.alias("segmento")).agg(
+        F.count(F.lit(1)).alias("qtd_clientes"),
+        F.sum("orders").alias("qtd_pedidos"),
+        *[round_half_up(F.sum(f"{c}_sum").cast("double") / F.nullif(F.sum(f"{c}_n"), F.lit(0)), 2).alias(name)
+          for c, name in means.items()],
+        round_half_up(F.sum("late") * F.lit(100.0) / F.sum("orders"), 2).alias("pct_late"),
     ).orderBy("segmento")
 
 

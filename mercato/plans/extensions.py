@@ -12,13 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import money_sum, rate_pct, round_half_up
-from mercato.operators import bounded_broadcast, bucketize
+from mercato.operators import bucketize
 from mercato.plans import analyses as A
 
 EARTH_RADIUS_KM = 6371.0
 DISTANCE_EDGES_KM = (25, 50, 100, 250, 500, 1000)
-# Zip prefixes have five digits, so the centroid table has at most 100,000 rows.
-ZIP_CENTROIDS_MAX_ROWS = 100_000
 
 
 def ext_seasonality_annualised(mart_category: DataFrame, years: Sequence[int] = (2017, 2018),
@@ -80,8 +78,11 @@ def haversine_km(lat1, lng1, lat2, lng2):
 
 def ext_route_distance(items_enriched: DataFrame, fct: DataFrame, geolocation: DataFrame,
                        edges_km: Sequence[float] = DISTANCE_EDGES_KM) -> DataFrame:
-    """Late rate by seller-to-customer distance band (zip centroid to zip centroid)."""
-    geo = bounded_broadcast(geolocation.select("zip_code_prefix", "lat", "lng"), ZIP_CENTROIDS_MAX_ROWS)
+    """Late rate by seller-to-customer distance band (zip centroid to zip centroid).
+
+    Routes without a centroid at either end are counted in the band ``unknown``.
+    """
+    geo = geolocation.select("zip_code_prefix", "lat", "lng")
     s = geo.select(F.col("zip_code_prefix").alias("seller_zip_code_prefix"),
                    F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
     c = geo.select(F.col("zip_code_prefix").alias("customer_zip_code_prefix"),
@@ -89,12 +90,12 @@ def ext_route_distance(items_enriched: DataFrame, fct: DataFrame, geolocation: D
     pairs = items_enriched.select("order_id", "seller_zip_code_prefix").distinct()
     orders = fct.where(F.col("order_status") == "delivered").select(
         "order_id", "customer_zip_code_prefix", "is_late", "days_to_deliver")
-    routes = (pairs.join(orders, "order_id").join(s, "seller_zip_code_prefix")
-              .join(c, "customer_zip_code_prefix")
+    routes = (pairs.join(orders, "order_id").join(s, "seller_zip_code_prefix", "left")
+              .join(c, "customer_zip_code_prefix", "left")
               .withColumn("distance_km", haversine_km(F.col("s_lat"), F.col("s_lng"),
                                                       F.col("c_lat"), F.col("c_lng"))))
     labels = [f"{a}-{b}km" for a, b in zip((0,) + tuple(edges_km), edges_km)] + [f"{edges_km[-1]}km+"]
-    band, rank, _ = bucketize("distance_km", edges_km, labels)
+    band, rank, _ = bucketize("distance_km", edges_km, labels, null_label="unknown")
     return (routes.groupBy(band.alias("distance_band"), rank.alias("band_rank")).agg(
         F.count(F.lit(1)).alias("routes"),
         F.count_if("is_late").alias("late_routes"),
@@ -104,9 +105,9 @@ def ext_route_distance(items_enriched: DataFrame, fct: DataFrame, geolocation: D
     ).orderBy("band_rank").drop("band_rank"))
 
 
-def ext_lorenz_gini(mart_seller: DataFrame, materialize: bool = True) -> DataFrame:
+def ext_lorenz_gini(mart_seller: DataFrame) -> DataFrame:
     """Gini coefficient of seller revenue from the ranked Pareto curve (one row)."""
-    curve = A.pareto_curve(mart_seller, materialize=materialize)
+    curve = A.pareto_curve(mart_seller)
     asc_rank = (F.col("total_sellers") + 1 - F.col("rank_revenue")).cast("double")
     x = F.col("seller_revenue").cast("double")
     agg = curve.agg(F.count(F.lit(1)).alias("sellers"),

@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from mercato.functions import money_sum, rate_pct, round_half_up
 from mercato.operators import (distinct_rows, global_rank, latest_per_key, ntile_from_rank,
                                share_of_total, topk, topk_semi_join)
+from mercato.operators.ranking import write_scratch_table
 from mercato.plans import analyses as A
 from mercato.plans.layers import Layers
+from mercato.sources.testdata import SEASON_YEARS
 
-SEASON_YEARS = (1997, 1998)
-# Small buckets so the multi-bucket path of global_rank runs on test-sized data.
-TEST_ROWS_PER_BUCKET = 25
 
 
 def _delivered(p: Layers) -> DataFrame:
@@ -63,7 +62,11 @@ def op_having(p: Layers, min_orders: int = 100) -> DataFrame:
 
 
 def op_left_join(p: Layers) -> DataFrame:
-    return p.fct_orders.select("order_id", "customer_unique_id", "review_score", "items_count")
+    """Orders with what is known of their customer and review; every order stays."""
+    return (p.stg_orders.select("order_id", "customer_id")
+            .join(p.stg_customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
+            .join(p.stg_order_reviews.select("order_id", "review_score"), "order_id", "left")
+            .select("order_id", "customer_unique_id", "review_score"))
 
 
 def op_inner_join(p: Layers) -> DataFrame:
@@ -72,8 +75,13 @@ def op_inner_join(p: Layers) -> DataFrame:
 
 
 def op_using_multi(p: Layers) -> DataFrame:
-    return p.mart_category_performance.select("category", "purchase_year", "purchase_month",
-                                              "total_orders", "active_sellers")
+    """Order and seller counts by category and month, joined on the three shared keys."""
+    keys = ["category", "purchase_year", "purchase_month"]
+    lines = (p.int_order_items_enriched.select(F.col("product_category_name_en").alias("category"), "order_id", "seller_id")
+             .join(_delivered(p).select("order_id", "purchase_year", "purchase_month"), "order_id"))
+    orders = lines.select(*keys, "order_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("total_orders"))
+    sellers = lines.select(*keys, "seller_id").distinct().groupBy(*keys).agg(F.count("seller_id").alias("active_sellers"))
+    return orders.join(sellers, keys)
 
 
 def _monthly(p: Layers) -> DataFrame:
@@ -150,8 +158,8 @@ def op_topk(p: Layers, k: int = 10) -> DataFrame:
 
 
 def op_union_all(p: Layers, cuts=A.PARETO_CUTS) -> DataFrame:
-    """The Pareto cut-offs written literally: one filtered aggregate per cut, unioned."""
-    curve = A.pareto_curve(p.mart_seller_performance)
+    """The Pareto cut-offs written literally: one filtered aggregate per cut over the stored curve, unioned."""
+    curve = write_scratch_table(A.pareto_curve(p.mart_seller_performance), "curve")
     parts = [curve.where(F.col("seller_pct") <= F.lit(float(c))).agg(
                 F.lit(f"top {A.pct_label(c)}%").alias("faixa"),
                 F.max("revenue_pct_cumulative").alias("receita_acumulada_pct"),
@@ -169,7 +177,7 @@ def win_latest(p: Layers) -> DataFrame:
 
 
 def _curve(p: Layers) -> DataFrame:
-    return A.pareto_curve(p.mart_seller_performance, rows_per_bucket=TEST_ROWS_PER_BUCKET)
+    return A.pareto_curve(p.mart_seller_performance)
 
 
 def win_global_rank(p: Layers) -> DataFrame:
@@ -180,7 +188,7 @@ def win_grand_total(p: Layers) -> DataFrame:
     ranked = global_rank(p.mart_seller_performance.select("seller_id", "seller_revenue"),
                          ["seller_revenue", "seller_id"], descending=True, rank_col="rank_revenue",
                          running_sum="seller_revenue", total_count_col="total_sellers",
-                         total_sum_col="total_revenue", rows_per_bucket=TEST_ROWS_PER_BUCKET)
+                         total_sum_col="total_revenue")
     return ranked.select("seller_id", "total_sellers", "total_revenue")
 
 
@@ -194,8 +202,7 @@ def win_partition_share(p: Layers) -> DataFrame:
 
 def win_ntile(p: Layers, n: int = 5) -> DataFrame:
     ranked = global_rank(p.mart_seller_performance.select("seller_id", "total_orders"),
-                         ["total_orders", "seller_id"], rank_col="r", total_count_col="n",
-                         rows_per_bucket=TEST_ROWS_PER_BUCKET)
+                         ["total_orders", "seller_id"], rank_col="r", total_count_col="n")
     return ranked.select("seller_id", "total_orders", ntile_from_rank("r", "n", n).alias("volume_bucket"))
 
 

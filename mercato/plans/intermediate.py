@@ -6,24 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import (MONEY, day_diff, money_sum, round_half_up, safe_div)
-from mercato.operators import bounded_broadcast
-
-# The category dictionary is bounded by the number of product categories.
-CATEGORY_DICT_MAX_ROWS = 100_000
 
 
 def int_order_items_enriched(items: DataFrame, products: DataFrame,
                              translation: DataFrame, sellers: DataFrame) -> DataFrame:
     """Items + product attributes + English category + seller location.
 
-    Products and sellers are joined by key and left to Spark's size threshold
-    (broadcast when small, shuffle otherwise); the category dictionary is
-    broadcast after a row-count check.
+    All three are joined by key and left to Spark's size threshold (broadcast
+    when small, shuffle otherwise).
     """
-    ct = bounded_broadcast(translation, CATEGORY_DICT_MAX_ROWS)
     joined = (items.alias("oi")
               .join(products.alias("p"), "product_id", "left")
-              .join(ct.alias("ct"), F.col("p.product_category_name_pt") == F.col("ct.category_name_pt"), "left")
+              .join(translation.alias("ct"), F.col("p.product_category_name_pt") == F.col("ct.category_name_pt"), "left")
               .join(sellers.alias("s"), "seller_id", "left"))
     return joined.select(
         "order_id", "order_item_id", "product_id", "seller_id",

@@ -16,7 +16,7 @@ from mercato.session import scratch_path
 from pyspark.sql import functions as F
 
 from mercato.sources.raw import RAW_SOURCES, ingest_all, profile, read_raw_csv, validate_frame
-from mercato.sources.sinks import read_table, register_views, run_sql, write_table
+from mercato.sources.sinks import register_views, run_sql, write_table
 
 
 def _write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
@@ -45,34 +45,41 @@ def src_ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_all(spark, csv_dir, out_dir, id_type="bigint")
 
 
-PROMISED_SQL = """
-SELECT purchase_year, purchase_month_num, count(*) AS total_orders,
-  round(avg(days_promised) + signum(avg(days_promised)) * 1e-9, 1) AS avg_days_promised,
-  round(avg(days_to_deliver) + signum(avg(days_to_deliver)) * 1e-9, 1) AS avg_days_actual,
-  round(avg(days_promised - days_to_deliver) + signum(avg(days_promised - days_to_deliver)) * 1e-9, 1)
-    AS buffer_days,
-  count_if(is_late) AS late_orders,
-  round(count_if(is_late) * 100D / count(*) + signum(count_if(is_late) * 100D / count(*)) * 1e-9, 2)
-    AS pct_late
-FROM fct_orders
-WHERE order_status = 'delivered' AND days_to_deliver IS NOT NULL AND days_promised IS NOT NULL
-GROUP BY purchase_year, purchase_month_num
-ORDER BY purchase_year, purchase_month_num
+#: Share of late orders and mean delay by state and weekday, with a window over the states' totals.
+STATE_WEEKDAY_SQL = """
+WITH daily AS (
+  SELECT customer_state, purchase_day_of_week, count(*) AS orders, count_if(is_late) AS late,
+    sum(delivery_delay_days) AS delay_days
+  FROM fct_orders WHERE is_delivered GROUP BY ALL
+)
+SELECT customer_state, purchase_day_of_week, orders, late, delay_days,
+  sum(orders) OVER (PARTITION BY customer_state) AS state_orders
+FROM daily
 """
 
 
 def src_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL text run over the registered order fact view."""
     register_views({"fct_orders": Layers.from_testdata(spark, sf_dir).fct_orders})
-    return run_sql(spark, PROMISED_SQL)
+    return run_sql(spark, STATE_WEEKDAY_SQL)
+
+
+def _through_catalog(spark: SparkSession, df: DataFrame, namespace: str, name: str, **how) -> DataFrame:
+    """``df`` written as a catalog table of its layer's namespace and read back by name.
+
+    The files lie in a fresh scratch folder and the name is the call's own, so an earlier result that has
+    not been read yet keeps its rows.
+    """
+    path = scratch_path(spark, name)
+    table = f"{namespace}.{path.rpartition('/')[2].replace('-', '_')}"
+    write_table(df, table, path=path, as_catalog_table=True, **how)
+    return spark.table(table).select(*df.columns)
 
 
 def sink_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category mart written partitioned by year, then read back with its own types."""
+    """The category mart as a catalog table of the marts' namespace, partitioned by year."""
     mart = Layers.from_testdata(spark, sf_dir).mart_category_performance
-    path = scratch_path(spark, "mart_category_performance")
-    write_table(mart, path, mode="WRITE_TRUNCATE", partition_by=["purchase_year"])
-    return read_table(spark, path, like=mart)
+    return _through_catalog(spark, mart, "mercato_marts", "mart_category_performance", mode="WRITE_TRUNCATE", partition_by=["purchase_year"])
 
 
 def src_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,17 +91,14 @@ def src_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order fact written with a truncating write disposition and read back."""
+    """The order fact loaded into an empty catalog table, partitioned by purchase month."""
     fct = Layers.from_testdata(spark, sf_dir).fct_orders
-    path = scratch_path(spark, "fct_orders")
-    write_table(fct, path, mode="WRITE_TRUNCATE")
-    return read_table(spark, path, like=fct)
+    return _through_catalog(spark, fct, "mercato_marts", "fct_orders", mode="WRITE_EMPTY", partition_by=["purchase_month"])
 
 
 def sink_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging tables materialised as views and read back by name."""
-    layers = Layers.from_testdata(spark, sf_dir)
-    register_views({"stg_customers": layers.stg_customers, "stg_sellers": layers.stg_sellers})
+    """A staging table as a view, read back by name."""
+    register_views({"stg_customers": Layers.from_testdata(spark, sf_dir).stg_customers})
     return spark.table("stg_customers")
 
 

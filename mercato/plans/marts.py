@@ -66,29 +66,29 @@ def mart_category_from_lines(lines: DataFrame) -> DataFrame:
     """
     keys = ["category", "purchase_year", "purchase_month"]
     j = lines.withColumnRenamed("product_category_name_en", "category")
-    category_orders = j.groupBy(*keys, "order_id").agg(
+    basket = j.groupBy(*keys, "order_id").agg(
         F.any_value("review_score").alias("review_score"),
         F.any_value("is_late").alias("is_late"),
-        F.sum("item_price").alias("order_category_revenue"),
-        F.sum("item_gross_value").alias("order_category_gross_value"),
-        avg_money("item_price").alias("avg_item_price_in_order"),
-        F.avg("item_freight_ratio_pct").alias("avg_freight_ratio_in_order"),
-        F.avg("product_weight_g").alias("avg_weight_in_order"),
+        F.sum("item_price").alias("revenue"),
+        F.sum("item_gross_value").alias("gross_value"),
+        avg_money("item_price").alias("mean_price"),
+        F.avg("item_freight_ratio_pct").alias("mean_freight_ratio"),
+        F.avg("product_weight_g").alias("mean_weight"),
     )
-    category_sellers = j.groupBy(*keys).agg(F.countDistinct("seller_id").alias("active_sellers"))
-    rolled = category_orders.groupBy(*keys).agg(
+    sellers = j.groupBy(*keys).agg(F.countDistinct("seller_id").alias("active_sellers"))
+    rolled = basket.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        money_sum("order_category_revenue").alias("category_revenue"),
-        round_half_up(F.avg("avg_item_price_in_order"), 2).alias("avg_item_price"),
-        money_sum("order_category_gross_value").alias("category_gross_value"),
-        round_half_up(F.avg("avg_freight_ratio_in_order"), 2).alias("avg_freight_ratio_pct"),
-        round_half_up(F.avg("avg_weight_in_order"), 1).alias("avg_product_weight_g"),
+        money_sum("revenue").alias("category_revenue"),
+        round_half_up(F.avg("mean_price"), 2).alias("avg_item_price"),
+        money_sum("gross_value").alias("category_gross_value"),
+        round_half_up(F.avg("mean_freight_ratio"), 2).alias("avg_freight_ratio_pct"),
+        round_half_up(F.avg("mean_weight"), 1).alias("avg_product_weight_g"),
         round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
         F.count_if(F.col("review_score") >= 4).alias("positive_reviews"),
         F.count_if(F.col("review_score") <= 2).alias("negative_reviews"),
         F.count_if("is_late").alias("late_orders"),
     )
-    return rolled.join(category_sellers, keys, "left").select(
+    return rolled.join(sellers, keys, "left").select(
         *keys, "total_orders", "active_sellers", "category_revenue", "avg_item_price",
         "category_gross_value", "avg_freight_ratio_pct", "avg_product_weight_g",
         "avg_review_score", "positive_reviews", "negative_reviews", "late_orders")
@@ -105,20 +105,25 @@ def mart_seller_from_lines(lines: DataFrame) -> DataFrame:
     aggregation); order attributes depend on the order (fixed-width any_value).
     """
     who = ["seller_id", "seller_state", "seller_city"]
-    seller_orders = lines.groupBy(*who, "order_id").agg(
+    sales = lines.groupBy(*who, "order_id").agg(
         *[F.any_value(c).alias(c) for c in ORDER_ATTRS],
-        F.sum("item_price").alias("order_seller_revenue"),
-        F.sum("item_gross_value").alias("order_seller_gross_value"),
+        F.sum("item_price").alias("revenue"),
+        F.sum("item_gross_value").alias("gross_value"),
     )
-    catalog = lines.groupBy("seller_id").agg(
-        F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("product_category_name_en").alias("unique_categories"),
-        round_half_up(avg_money("item_price"), 2).alias("avg_item_price"),
+    # products first, so that one distinct is left and no rows are doubled for a second
+    by_product = lines.groupBy("seller_id", "product_id").agg(
+        F.min("product_category_name_en").alias("category"),
+        F.sum("item_price").alias("price"),
+        F.count("item_price").alias("priced"))
+    catalog = by_product.groupBy("seller_id").agg(
+        F.count("product_id").alias("unique_products"),
+        F.countDistinct("category").alias("unique_categories"),
+        round_half_up(F.sum("price").cast("double") / F.nullif(F.sum("priced"), F.lit(0)), 2).alias("avg_item_price"),
     )
-    per_seller = seller_orders.groupBy(*who).agg(
+    per_seller = sales.groupBy(*who).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        money_sum("order_seller_revenue").alias("seller_revenue"),
-        money_sum("order_seller_gross_value").alias("seller_gross_value"),
+        money_sum("revenue").alias("seller_revenue"),
+        money_sum("gross_value").alias("seller_gross_value"),
         round_half_up(F.avg("days_to_deliver"), 1).alias("avg_days_to_deliver"),
         round_half_up(F.avg("delivery_delay_days"), 1).alias("avg_delay_days"),
         F.count_if("is_late").alias("late_orders"),

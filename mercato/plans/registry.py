@@ -17,9 +17,7 @@ from mercato.plans.checks import check_report
 from mercato.plans.generic import GENERIC
 from mercato.plans.io_keys import IO_KEYS
 from mercato.plans.layers import Layers
-
-SEASON_YEARS = (1997, 1998)
-FOCUS_STATE = "NATION_7"
+from mercato.sources.testdata import FOCUS_STATE, SEASON_YEARS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 

@@ -9,20 +9,20 @@ expressions. Nothing is collected: every table grows with the input.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.relational import bounded_broadcast
-
-SOURCE_TABLES = ("orders", "lineitem", "customer", "part", "supplier", "nation")
 
 # Fixed values of the adapter (must equal the oracle's):
 PURCHASE = "timestampadd(HOUR, cast(o_orderkey % 24 as int), o_orderdate)"
 APPROVED = f"timestampadd(HOUR, cast(o_orderkey % 48 as int), {PURCHASE})"
 CENTS = "cast(cast(cast(round({x} * 100) as bigint) as decimal(18,2)) * cast(0.01 as decimal(3,2)) as decimal(18,2))"
 UNTRANSLATED_BRANDS = ("Brand#24", "Brand#25")
-NATION_MAX_ROWS = 1_000  # the nation table has 25 rows; broadcast only while that holds
+# Parameters of the analyses on the synthetic tables, whose dates and states differ from the real ones.
+SEASON_YEARS = (1997, 1998)
+FOCUS_STATE = "NATION_7"
 
 
 def _score(salt: str) -> str:
@@ -75,7 +75,7 @@ def raw_orders(o: DataFrame) -> DataFrame:
 def raw_customers(o: DataFrame, c: DataFrame, n: DataFrame) -> DataFrame:
     return (o.select("o_orderkey", "o_custkey")
             .join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(bounded_broadcast(n.select("n_nationkey", "n_name"), NATION_MAX_ROWS),
+            .join(n.select("n_nationkey", "n_name"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .selectExpr(
                 "o_orderkey as customer_id",
@@ -159,7 +159,7 @@ def raw_products(p: DataFrame) -> DataFrame:
 
 def raw_sellers(s: DataFrame, n: DataFrame) -> DataFrame:
     return (s.select("s_suppkey", "s_nationkey")
-            .join(bounded_broadcast(n.select("n_nationkey", "n_name"), NATION_MAX_ROWS),
+            .join(n.select("n_nationkey", "n_name"),
                   F.col("s_nationkey") == F.col("n_nationkey"))
             .selectExpr(
                 "s_suppkey as seller_id",
@@ -184,17 +184,35 @@ def raw_category_translation(p: DataFrame) -> DataFrame:
             .distinct())
 
 
-def raw_tables_from_testdata(spark: SparkSession, sf_dir: str) -> RawTables:
-    t = {name: load_source(spark, sf_dir, name) for name in SOURCE_TABLES}
-    o = t["orders"]
-    return RawTables(
-        orders=raw_orders(o),
-        order_items=raw_order_items(t["lineitem"], o),
-        order_payments=raw_order_payments(o),
-        order_reviews=raw_order_reviews(o),
-        customers=raw_customers(o, t["customer"], t["nation"]),
-        products=raw_products(t["part"]),
-        sellers=raw_sellers(t["supplier"], t["nation"]),
-        geolocation=raw_geolocation(t["customer"]),
-        category_name_translation=raw_category_translation(t["part"]),
-    )
+def raw_tables_from_testdata(spark: SparkSession, sf_dir: str) -> DerivedRawTables:
+    """All nine raw tables; a table's sources are opened when it is first asked for."""
+    return DerivedRawTables(spark, sf_dir)
+
+
+class DerivedRawTables:
+    """The raw tables by name, each derived on first use from the sources it needs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        source = cache(lambda name: load_source(spark, sf_dir, name))
+        self._made: dict[str, DataFrame] = {}
+        self._make = {
+            "orders": lambda: raw_orders(source("orders")),
+            "order_items": lambda: raw_order_items(source("lineitem"), source("orders")),
+            "order_payments": lambda: raw_order_payments(source("orders")),
+            "order_reviews": lambda: raw_order_reviews(source("orders")),
+            "customers": lambda: raw_customers(source("orders"), source("customer"), source("nation")),
+            "products": lambda: raw_products(source("part")),
+            "sellers": lambda: raw_sellers(source("supplier"), source("nation")),
+            "geolocation": lambda: raw_geolocation(source("customer")),
+            "category_name_translation": lambda: raw_category_translation(source("part")),
+        }
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._make:
+            raise AttributeError(name)
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self._make}
