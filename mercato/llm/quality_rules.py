@@ -26,14 +26,20 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
 
-def likelihood_ratios(raw: DataFrame, trusted: Column, text: str = "text", buckets: int = BUCKETS) -> list[float]:
-    """Log ratio of each cell: rows where ``trusted`` holds against all rows.
+def likelihood_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> list[float]:
+    """Log ratio of each cell: words of the trusted documents against those of all documents.
 
-    One pass over the table; the counts are combined per cell before the shuffle, and exactly
-    ``buckets`` numbers reach the driver whatever the corpus holds.
+    ``labels`` (doc_id, quality) mark trusted documents with quality 1; of several labels the best
+    counts. Documents travel to their labels as two bytes a word; counts are combined per cell before
+    their shuffle, and exactly ``buckets`` numbers reach the driver whatever the corpus holds. The join
+    is by sorted ids at every size, so that its cost grows with the table alone.
     """
-    each = raw.select(F.coalesce(trusted, F.lit(False)).cast("int").alias("t"), F.explode(words(F.col(text))).alias("w"))
-    each = each.select("t", F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("cell"))
+    if not 0 < buckets <= 1 << 15:
+        raise ValueError("buckets must fit two bytes")
+    trust = labels.groupBy(F.col("doc_id").alias("label_id")).agg((F.max("quality") == 1).cast("int").alias("trusted"))
+    cells = F.transform(words(F.col(text)), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("smallint"))
+    each = docs.select(F.col(doc_id).alias("own_id"), cells.alias("cells")).join(trust.hint("merge"), F.col("own_id") == F.col("label_id"), "left")
+    each = each.select(F.coalesce("trusted", F.lit(0)).alias("t"), F.explode("cells").alias("cell"))
     counts = {r.cell: (r.target, r.raw) for r in each.groupBy("cell").agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect()}
     all_target, all_raw = (sum(c[k] for c in counts.values()) for k in (0, 1))
     if not all_target:
@@ -90,10 +96,3 @@ def quality_features(df: DataFrame, text: str = "text", ratios: list[float] | No
 def quality_rules(df: DataFrame, ratios: list[float], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Features and verdict: kept is false if base_failed, else whether llr reaches ``threshold``."""
     return quality_features(df, text, ratios).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
-
-
-def with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Text and whether labels mark the document as good (quality 1); a document labelled twice is
-    trusted if any of its labels says so. Labels are combined per id first, so no row is repeated."""
-    trust = labels.groupBy(F.col("doc_id").alias("label_id")).agg((F.max("quality") == 1).alias("trusted"))
-    return docs.select("doc_id", "text").join(trust, F.col("doc_id") == F.col("label_id"), "left").select("text", "trusted")

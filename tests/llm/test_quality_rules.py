@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from mercato.llm.quality_rules import likelihood_ratios, quality_rules, with_trust
+from mercato.llm.quality_rules import likelihood_ratios, quality_rules
 
 GAP = re.compile("[\x20\x09-\x0d]+")
 
@@ -39,7 +39,7 @@ def test_features_match_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     docs = docs.unionByName(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(CASES)] + [(None, "null id"), (1, "again")], "doc_id long, text string"))
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    ratios = likelihood_ratios(with_trust(docs, labels), F.col("trusted"), buckets=512)
+    ratios = likelihood_ratios(docs, labels, buckets=512)
     assert any(ratios)
     rows = quality_rules(docs.withColumn("_body", F.lit(1)).withColumn("WINS", F.lit(2)), ratios, threshold=-0.1).collect()
     assert len(rows) == docs.count()
@@ -52,7 +52,7 @@ def test_features_match_brute_force(spark):
 
 def test_empty_tables(spark):
     docs, labels = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, quality int")
-    ratios = likelihood_ratios(with_trust(docs, labels), F.col("trusted"), buckets=16)
+    ratios = likelihood_ratios(docs, labels, buckets=16)
     assert ratios == [0.0] * 16
     assert quality_rules(docs, ratios).count() == 0
 
@@ -60,7 +60,7 @@ def test_empty_tables(spark):
 def test_junk_is_rejected_and_good_text_kept(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    rows = quality_rules(docs, likelihood_ratios(with_trust(docs, labels), F.col("trusted"))).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k"), F.avg((F.col("kept") | F.col("base_failed")).cast("int")).alias("v")).collect()
+    rows = quality_rules(docs, likelihood_ratios(docs, labels)).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k"), F.avg((F.col("kept") | F.col("base_failed")).cast("int")).alias("v")).collect()
     kept = {r.quality: r for r in rows}
     assert kept[1].v > 0.99 and kept[0].k < 0.5
     assert kept[1].k == pytest.approx(kept[1].v, abs=0.2)
