@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from mercato.operators.quality import (Check, accepted_values, not_null, relationships,
                                        run_checks, unique, unique_combination)
 from mercato.plans.layers import Layers
+from mercato.sources.testdata import RawTables
 
 # Accepted order statuses, payment types and review scores.
 ORDER_STATUSES = ("created", "approved", "invoiced", "processing", "shipped", "delivered",
@@ -94,3 +95,21 @@ def check_report(p: Layers, kind: str | None = None) -> DataFrame:
     checks = checks_of_kind(kind)
     tables = {c.table for c in checks} | {c.parent[0] for c in checks if c.parent}
     return run_checks(check_frames(p, tables), checks)
+
+
+def damaged_report(p: Layers) -> DataFrame:
+    """The staging checks of orders and items over input with known faults, so that every kind fires.
+
+    Of the orders, every 7th has an unknown status, every 11th no customer, every 17th a customer that
+    does not exist, and every 13th comes twice; the items of every 5th order come twice.
+    """
+    o, i = p.raw.orders, p.raw.order_items
+    orders = o.selectExpr(
+        "order_id",
+        "case when order_id % 11 = 0 then null when order_id % 17 = 0 then -order_id else customer_id end as customer_id",
+        "case when order_id % 7 = 0 then 'lost' else order_status end as order_status",
+        *[c for c in o.columns if c not in ("order_id", "customer_id", "order_status")])
+    raw = p.raw.as_dict() | {"orders": orders.unionByName(orders.where("order_id % 13 = 0")),
+                             "order_items": i.unionByName(i.where("order_id % 5 = 0"))}
+    checks = [c for c in STAGING_CHECKS if c.table in ("stg_orders", "stg_order_items")]
+    return run_checks(check_frames(Layers(RawTables(**raw)), {"stg_orders", "stg_order_items", "stg_customers"}), checks)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import analyses as A
 from mercato.plans import extensions as X
-from mercato.plans.checks import check_report
+from mercato.plans.checks import check_report, damaged_report
 from mercato.plans.generic import GENERIC
 from mercato.plans.io_keys import IO_KEYS
 from mercato.plans.layers import Layers
@@ -89,6 +89,7 @@ def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {k: _layer(k) for k in LAYER_KEYS}
     out.update({k: _on(fn, k) for k, fn in ANALYSES.items()})
     out.update({k: _on(_checks(kind), k) for k, kind in CHECK_KEYS.items()})
+    out["dq_damaged"] = _on(damaged_report, "dq_damaged")
     out.update({k: _on(fn, k) for k, fn in GENERIC.items()})
     out.update({k: _on(fn, k) for k, fn in EXTENSIONS.items()})
     out.update(IO_KEYS)

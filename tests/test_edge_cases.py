@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from mercato.plans import analyses as A
+from mercato.plans.extensions import ext_route_distance
 from mercato.plans.layers import Layers
 from tests.helpers import item, make_raw, order, review
 
@@ -123,3 +124,11 @@ def test_staging_normalisation(spark):
     o, c = p.stg_orders.first(), p.stg_customers.first()
     assert o.order_status == "delivered"
     assert (c.customer_city, c.customer_state) == ("Sao Paulo", "SP")
+
+
+def test_routes_without_a_centroid_are_counted_as_unknown(spark):
+    p = layers(spark, orders=[order(1), order(2, customer_id=2)], order_items=[item(1, 1), item(2, 1)],
+                     geolocation=[("01001", -23.5, -46.6, "sao paulo", "sp")])
+    rows = ext_route_distance(p.int_order_items_enriched, p.fct_orders, p.stg_geolocation).collect()
+    assert [(r.distance_band, r.routes) for r in rows] == [("0-25km", 1), ("unknown", 1)]
+    assert rows[1].avg_distance_km is None

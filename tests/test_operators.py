@@ -6,7 +6,10 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mercato.operators import bounded_broadcast, bucketize, latest_per_key
+from pyspark.sql.types import LongType
+
+from mercato.functions import norm_lower, norm_title, zip_text
+from mercato.operators import bucketize, latest_per_key
 from mercato.plans import extensions as X
 from mercato.plans.layers import Layers
 from tests.helpers import make_raw, order
@@ -23,15 +26,6 @@ def test_latest_per_key_equals_row_number_window(spark):
     assert got == expected
 
 
-def test_bounded_broadcast_only_under_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in small.join(bounded_broadcast(small, 10), "id")._jdf.queryExecution() \
-        .analyzed().toString().lower()
-    big = spark.range(100)
-    hinted = big.join(bounded_broadcast(big, 10), "id")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in hinted.lower()
-
-
 def test_bucketize_labels_and_ranks(spark):
     df = spark.createDataFrame([(0.0,), (4.99,), (5.0,), (49.9,), (50.0,), (None,)], "v double")
     label, rank, labels = bucketize("v", [5, 10, 50])
@@ -83,3 +77,27 @@ def test_order_payments_aggregated_before_join(spark):
     assert got[1].payment_types == 2 and got[1].voucher_value == Decimal("30.00")
     assert got[1].payment_gap == Decimal("0.00")
     assert got[3].payment_total is None
+
+
+def test_zip_text_pads_but_never_cuts(spark):
+    rows = spark.createDataFrame([(7,), (12345,), (123456,), (123457,), (None,)], "z long") \
+        .select(zip_text("z", LongType())).collect()
+    assert [r[0] for r in rows] == ["00007", "12345", "123456", "123457", None]
+
+
+def test_trim_takes_all_white_space(spark):
+    df = spark.createDataFrame([(" delivered\t",), (" Delivered\r\n",), ("a b",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(norm_lower("s")).collect()] == ["delivered", "delivered", "a b", "", None]
+
+
+def test_title_starts_words_after_delimiters(spark):
+    df = spark.createDataFrame([("xique-xique ",), ("SAO JOAO (rj)",), ("d'oeste/ms",), ("são-luís",), (None,), ("",)], "s string")
+    assert [r[0] for r in df.select(norm_title("s")).collect()] == [
+        "Xique-Xique", "Sao Joao (Rj)", "D'oeste/Ms", "São-Luís", None, ""]
+
+
+def test_bucketize_keeps_nulls_apart_when_named(spark):
+    df = spark.createDataFrame([(1.0,), (9.0,), (None,)], "v double")
+    label, rank, labels = bucketize("v", (5,), ["low", "high"], null_label="unknown")
+    assert [tuple(r) for r in df.select(label, rank).collect()] == [("low", 1), ("high", 2), ("unknown", 3)]
+    assert labels == ["low", "high", "unknown"]

@@ -39,25 +39,19 @@ def test_marts_use_hash_aggregation_only(spark, stored):
         assert "SortAggregate" not in plan
 
 
-def test_category_dictionary_is_broadcast(spark, stored):
+def test_small_dimensions_are_broadcast(spark, stored):
     layers, _ = stored
     plan = layers.int_order_items_enriched._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_multi_bucket_rank_joins_offsets_by_hash(spark):
+def test_rank_joins_offsets_by_hash(spark):
     df = spark.range(500).select(F.col("id"), (F.col("id") % 7).alias("k"))
-    plan = executed(global_rank(df, ["k", "id"], rank_col="r", total_count_col="n", buckets=5))
+    plan = executed(global_rank(df, ["k", "id"], rank_col="r", total_count_col="n", partitions=5))
     assert "BroadcastHashJoin" in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_single_bucket_rank_has_no_join(spark):
-    df = spark.range(50).select(F.col("id"), (F.col("id") % 7).alias("k"))
-    plan = executed(global_rank(df, ["k", "id"], rank_col="r", total_count_col="n"))
-    assert "Join" not in plan
-
-
 def test_window_form_of_latest_review_limits_before_shuffle(spark):
     plan = executed(win_latest(Layers.from_testdata(spark, SF)))
     assert "WindowGroupLimit" in plan
@@ -104,3 +98,22 @@ def test_hot_order_key_is_split_across_tasks(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _jobs_started(spark, build) -> int:
+    tracker = spark.sparkContext.statusTracker()
+    group = f"built-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "construction")
+    build()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(tracker.getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("name", ["stg_products", "int_order_items_enriched", "mart_seller_performance"])
+def test_construction_runs_footers_only(spark, name):
+    """Opening a Parquet source may read its footers (one job each); nothing else runs before an action."""
+    layers = Layers.from_testdata(spark, "/root/testdata/sf0.001")
+    assert _jobs_started(spark, lambda: getattr(layers, name)) <= 6
+    again = Layers.from_testdata(spark, "/root/testdata/sf0.001")
+    if name == "stg_products":
+        assert _jobs_started(spark, lambda: again.stg_products) <= 1

@@ -16,9 +16,9 @@ def _frame(spark, n, seed):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("buckets", [1, 3, 8, 40])
-def test_rank_and_running_sum_match_window(spark, descending, buckets):
-    df = _frame(spark, 400, buckets)
+@pytest.mark.parametrize("partitions", [None, 1, 3, 8, 40])
+def test_rank_and_running_sum_match_window(spark, descending, partitions):
+    df = _frame(spark, 400, partitions or 2)
     order = [F.col("k").desc(), F.col("id").desc()] if descending else [F.col("k").asc(), F.col("id").asc()]
     w = Window.orderBy(*order)
     expected = {r.id: (r.rn, r.rs, r.n) for r in df.select(
@@ -26,7 +26,7 @@ def test_rank_and_running_sum_match_window(spark, descending, buckets):
         F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"),
         F.count(F.lit(1)).over(Window.partitionBy()).alias("n")).collect()}
     got = global_rank(df, ["k", "id"], descending=descending, rank_col="rn", running_sum="v",
-                      running_col="rs", total_count_col="n", buckets=buckets)
+                      running_col="rs", total_count_col="n", partitions=partitions)
     assert {r.id: (r.rn, r.rs, r.n) for r in got.collect()} == expected
 
 
@@ -35,7 +35,7 @@ def test_ntile_matches_window(spark, n_rows, tiles):
     df = _frame(spark, n_rows, n_rows)
     w = Window.orderBy("k", "id")
     expected = {r.id: r.t for r in df.select("id", F.ntile(tiles).over(w).alias("t")).collect()}
-    ranked = global_rank(df, ["k", "id"], rank_col="r", total_count_col="n", buckets=3)
+    ranked = global_rank(df, ["k", "id"], rank_col="r", total_count_col="n", partitions=3)
     got = {r.id: r.t for r in ranked.select("id", ntile_from_rank("r", "n", tiles).alias("t")).collect()}
     assert got == expected
 
@@ -47,11 +47,11 @@ def test_ntile_four_on_five_rows_sizes(spark):
     assert sizes == [2, 1, 1, 1]
 
 
-def test_multi_bucket_plan_has_no_single_partition_exchange(spark):
+def test_plan_has_no_single_partition_exchange(spark):
     df = _frame(spark, 200, 1)
-    plan = global_rank(df, ["k", "id"], rank_col="r", buckets=4)._jdf.queryExecution() \
+    plan = global_rank(df, ["k", "id"], rank_col="r", partitions=4)._jdf.queryExecution() \
         .executedPlan().toString()
-    # the only single-partition window runs over the per-bucket offsets (<= 4 rows)
+    # the only single-partition window runs over the ranges' offsets (<= 4 rows)
     assert plan.count("SinglePartition") <= 1
 
 
@@ -63,5 +63,5 @@ def test_date_and_timestamp_keys(spark):
     for cols in (["d", "id"], ["t", "id"]):
         w = Window.orderBy(*cols)
         expected = {r.id: r.rn for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
-        got = global_rank(df, cols, rank_col="rn", buckets=6)
+        got = global_rank(df, cols, rank_col="rn", partitions=6)
         assert {r.id: r.rn for r in got.collect()} == expected

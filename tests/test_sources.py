@@ -90,3 +90,32 @@ def test_layers_as_sql_views(spark):
     expected = {r.customer_state: r.total_orders
                 for r in A.satisfaction_by_state(layers.fct_orders, min_orders=1).collect()}
     assert {r.customer_state: r.total_orders for r in sql.collect()} == expected
+
+
+def test_earlier_results_survive_later_calls(spark):
+    from mercato.plans.io_keys import IO_KEYS
+    for key in ("src_raw_csv", "src_ingest_all", "sink_table", "sink_mart"):
+        first = IO_KEYS[key](spark, "/root/testdata/sf0.001")
+        IO_KEYS[key](spark, "/root/testdata/sf0.01")
+        n = first.count()
+        assert n > 0 and n == IO_KEYS[key](spark, "/root/testdata/sf0.001").count()
+
+
+def test_write_empty_loads_an_empty_table_only(spark, tmp_dir):
+    df = spark.range(3)
+    write_table(df.limit(0), f"{tmp_dir}/t")
+    write_table(df, f"{tmp_dir}/t", mode="WRITE_EMPTY")
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 3
+    with pytest.raises(ValueError):
+        write_table(df, f"{tmp_dir}/t", mode="WRITE_EMPTY")
+    write_table(df, f"{tmp_dir}/new", mode="WRITE_EMPTY")
+    assert spark.read.parquet(f"{tmp_dir}/new").count() == 3
+
+
+def test_catalog_table_in_its_namespace(spark, tmp_dir):
+    name = f"mercato_staging.t_{abs(hash(tmp_dir))}"
+    write_table(spark.range(4), name, mode="WRITE_EMPTY", path=f"{tmp_dir}/cat", as_catalog_table=True)
+    assert spark.table(name).count() == 4
+    with pytest.raises(ValueError):
+        write_table(spark.range(4), name, mode="WRITE_EMPTY", as_catalog_table=True)
+    spark.sql(f"DROP TABLE {name}")
