@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from mercato.plans.registry import all_queries
+from mercato.testing.oracle_queries import oracle_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
-ORACLE = E.oracle_sql()
+QUERIES, ORACLE = all_queries(), oracle_queries()
 
 
 def _norm(v):
@@ -30,12 +32,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    sdf = E.queries()[key](spark, SF)
+    sdf = QUERIES[key](spark, SF)
     cur = con.execute(ORACLE[key])
     cols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(cols)
