@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.llm import secret_scan as S
 from mercato.llm.common import table, text_fold
 from mercato.llm.fingerprints import fingerprints
 from mercato.llm.jaccard_join import jaccard_groups
@@ -107,7 +108,7 @@ WITH RECURSIVE w AS (
          WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
          ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh
   FROM w
-), e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+), e AS (SELECT doc_id, hash(x) AS x FROM (SELECT doc_id, unnest(sh) AS x FROM s)),
 shared AS (
   SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS n FROM e l JOIN e r ON l.x = r.x AND l.doc_id <> r.doc_id GROUP BY 1, 2
 ), links AS (
@@ -121,5 +122,62 @@ FROM s JOIN reach ON reach.doc_id = s.doc_id GROUP BY s.doc_id
 """
 
 
+#: Every window of 50 bytes (as hex) with the smallest id that holds it; covered runs as islands.
+SUFFIX_SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM b)),
+hit AS (SELECT w.doc_id, w.i FROM w JOIN (SELECT s, min(doc_id) AS m FROM w GROUP BY s HAVING count(*) > 1) f ON w.s = f.s AND f.m < w.doc_id),
+edge AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS opens FROM hit),
+run AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edge) GROUP BY doc_id, k),
+cut AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM run),
+kept AS (SELECT cut.doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+         string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS head
+         FROM cut JOIN b ON b.doc_id = cut.doc_id GROUP BY cut.doc_id)
+SELECT b.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head || substr(h, CAST(2 * last + 1 AS BIGINT)), h))) AS kept_sha256
+FROM b LEFT JOIN kept ON kept.doc_id = b.doc_id
+"""
+
+
+def _secret_sql() -> str:
+    """Matches placed by the lengths of what lies between them; weak parts against all parts in reach."""
+
+    def matches(pattern: str, kind: str, keep: str, groups: str = "0") -> str:
+        p = "'" + pattern.replace("'", "''") + "'"
+        size = lambda v: f"coalesce(list_sum(list_transform({v}, lambda x: length(x))), 0)"
+        return f"""SELECT doc_id, start, kind, upto FROM (
+          SELECT doc_id, m, g1, g2, {size('gaps[1:k]')} + {size('ms[1:k - 1]')} AS start, start + length(m) AS upto, {kind} AS kind
+          FROM (SELECT *, unnest(ms) AS m, unnest(g1s) AS g1, unnest(g2s) AS g2, unnest(range(1, len(ms) + 1)) AS k FROM (
+            SELECT doc_id, string_split_regex(x, {p}) AS gaps, regexp_extract_all(x, {p}) AS ms,
+              regexp_extract_all(x, {p}, {min(1, int(groups))}) AS g1s, regexp_extract_all(x, {p}, {min(2, int(groups))}) AS g2s FROM t)))
+          WHERE {keep}"""
+
+    secret_like, id_like = "kind IN (0, 2, 4)", "kind IN (1, 3)"
+    named = "CASE WHEN g1 <> '' THEN 3 WHEN g2 <> '' THEN 4 ELSE 5 END"
+    names = "['" + "', '".join(S.KINDS) + "']"
+    say = f"coalesce(string_agg({names}[kind + 1] || ':' || start || ':' || upto, ',' ORDER BY start, kind), '')"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+sure AS ({matches(S.ASSIGN, "0", f"length(g2) >= {S.ASSIGN_VALUE}", "2")}
+  UNION ALL {matches(S.ACCESS, "1", f"length(m) >= {S.ACCESS_LENGTH}")}
+  UNION ALL {matches(S.HEX, "2", f"length(m) >= {S.HEX_LENGTH}")}),
+maybe AS ({matches(S.ACCESS, "3", f"length(m) BETWEEN {S.WEAK_ACCESS_LENGTH} AND {S.ACCESS_LENGTH - 1}")}
+  UNION {matches(S.HEX, "4", f"length(m) < {S.HEX_LENGTH}")}
+  UNION {matches(S.WEAK, named, "true", "2")}),
+weak AS (SELECT * FROM maybe ANTI JOIN sure ON sure.doc_id = maybe.doc_id AND sure.start < maybe.upto AND maybe.start < sure.upto),
+part AS (SELECT * FROM sure UNION ALL SELECT * FROM weak),
+linked AS (SELECT weak.* FROM weak JOIN part ON part.doc_id = weak.doc_id AND abs(part.start - weak.start) <= {S.SCOPE}
+  GROUP BY ALL HAVING CASE WHEN weak.{id_like} THEN bool_or(part.{secret_like}) WHEN weak.{secret_like} THEN bool_or(part.{id_like})
+    ELSE bool_or(part.{secret_like}) AND bool_or(part.{id_like}) END),
+base AS (SELECT doc_id, {say} AS spans, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex
+  FROM sure GROUP BY doc_id),
+every AS (SELECT doc_id, {say} AS spans FROM (SELECT * FROM sure UNION ALL SELECT * FROM linked) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base.spans, '')) AS base_sha256, coalesce(every.spans, '') AS spans
+FROM t LEFT JOIN base ON base.doc_id = t.doc_id LEFT JOIN every ON every.doc_id = t.doc_id
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op7_jaccard_join": JACCARD_SQL}
+    return {"op3_suffix_dedup": SUFFIX_SQL, "op5_secret_scan": _secret_sql(), "op7_jaccard_join": JACCARD_SQL}
