@@ -110,14 +110,14 @@ def mart_seller_from_lines(lines: DataFrame) -> DataFrame:
         F.sum("item_price").alias("revenue"),
         F.sum("item_gross_value").alias("gross_value"),
     )
-    # products first, so that one distinct is left and no rows are doubled for a second
-    by_product = lines.groupBy("seller_id", "product_id").agg(
-        F.min("product_category_name_en").alias("category"),
+    # products first, so that one distinct is left and no rows are doubled for a second; the checks see
+    # to it that a product has one category
+    by_product = lines.groupBy("seller_id", "product_id", "product_category_name_en").agg(
         F.sum("item_price").alias("price"),
         F.count("item_price").alias("priced"))
     catalog = by_product.groupBy("seller_id").agg(
         F.count("product_id").alias("unique_products"),
-        F.countDistinct("category").alias("unique_categories"),
+        F.countDistinct("product_category_name_en").alias("unique_categories"),
         round_half_up(F.sum("price").cast("double") / F.nullif(F.sum("priced"), F.lit(0)), 2).alias("avg_item_price"),
     )
     per_seller = sales.groupBy(*who).agg(

@@ -1,4 +1,4 @@
-"""Print one markdown row per registered key: exchanges and notable physical operators.
+"""Print one markdown row per registered key: jobs run while it is built, exchanges, physical operators.
 
 usage: python scripts/audit_plans.py [sf_dir]   (auto-broadcast off, as on cluster-sized tables)
 """
@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/scripts/", 1)[0])
 
-import __spark_entry__ as E  # noqa: E402
+from mercato.plans.registry import all_queries  # noqa: E402
 from mercato.session import build_session  # noqa: E402
 
 FLAGS = ["SinglePartition", "SortAggregate", "BroadcastHashJoin", "BroadcastNestedLoopJoin",
@@ -20,16 +20,20 @@ FLAGS = ["SinglePartition", "SortAggregate", "BroadcastHashJoin", "BroadcastNest
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 16, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    for key, fn in sorted(E.queries().items()):
+    sc = spark.sparkContext
+    for key, fn in sorted(all_queries().items()):
         # the physical plan before execution (after it, the adaptive plan prints
         # both its final and its initial form)
-        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        sc.setJobGroup(key, key)
+        df = fn(spark, sf_dir)
+        jobs = len(sc.statusTracker().getJobIdsForGroup(key))
+        plan = df._jdf.queryExecution().executedPlan().toString()
         exchanges = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
         windows = len(re.findall(r"\bWindow \[", plan))
         hits = [f"{f}×{plan.count(f)}" for f in FLAGS if plan.count(f)]
         if windows:
             hits.append(f"Window×{windows}")
-        print(f"| {key} | {exchanges} | {', '.join(hits)} |", flush=True)
+        print(f"| {key} | {jobs} | {exchanges} | {', '.join(hits)} |", flush=True)
 
 
 if __name__ == "__main__":
