@@ -31,10 +31,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    """The words of a text (null: none), in order. Splitting leaves empty strings at the ends only."""
-    parts = F.split(F.coalesce(text, F.lit("")), WORD_GAP)
-    first, last = (F.get(parts, F.lit(0)) == "").cast("int"), ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
-    return F.slice(parts, first + 1, F.size(parts) - first - last)
+    """The words of a text (null: none), in order. Trimmed first, so that one split leaves no empty strings."""
+    solid = F.btrim(F.coalesce(text, F.lit("")), F.lit(GAP_CHARS))
+    return F.when(solid != "", F.split(solid, WORD_GAP)).otherwise(F.array().cast("array<string>"))
 
 
 def text_fold(doc_id: Column, folds: int) -> Column:

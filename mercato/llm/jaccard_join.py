@@ -7,12 +7,14 @@ costs no shuffle of shingles; any order is correct, a good one keeps lists of co
 
 Set relations save the rest of the work:
 
-* Equal sets are one node. Only nodes have postings.
-* Index lists are sorted by size and position. Each set is first verified against its neighbour in each
-  of its lists, which ties copies into components by as many pairs as there are list entries.
+* Equal sets are one node. Only nodes have postings, and postings that no second node shares never travel
+  as rows: chunks of nodes ask shards which of their tokens two nodes hold.
+* Index lists are sorted by size and position. Each set is first verified against the neighbour it has in
+  most of its lists, which ties copies into components by one pair a set.
 * A set takes over the answers of a set it is linked with: what is in one component needs no further
   pair. Lists are then read again for pairs across components; within a list, blocks of equal size are
   skipped whole or from the position on at which the overlap can no longer suffice.
+* Before whole sets meet, their parity bitmaps do: differing bits bound the differing shingles from below.
 
 Every pair that could join two components is verified on whole sets, so no link is lost.
 
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mercato.llm.common import text_batches, written
+from mercato.llm.shared_hashes import ASKED, SAID, answer, answers, arrow_table, ask, codes, ddl
 
 SHINGLE, PERCENT = 5, 80
 #: The sketch: rows, cells of a row, and the slices that travel.
@@ -41,6 +44,10 @@ SKETCH_ROWS, SKETCH_CELLS, SLICES = 2, 1 << 18, 64
 REMEMBERED = 2_000_000
 BATCH_BYTES = 4 << 20
 PAIR_BATCH = 100_000
+#: Nodes are dealt into chunks of about so many prefix tokens.
+CHUNK_TOKENS = 1 << 19
+#: Bits of the filter for members whose whole sets are wanted (8 MB at any size), and its slices.
+FILTER_BITS, FILTER_SLICES = 1 << 26, 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,53 +131,141 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
     return out.reshape(SKETCH_ROWS, SKETCH_CELLS)
 
 
+_ROW = "doc_id long, n long, node long, prefix array<long>, parity array<long>"
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of the hashes fall on, two places a hash or more, as 64-bit words."""
+    words = 1 << max(0, int(len(hashes) - 1) >> 5).bit_length()
+    at = (mixed(hashes + _STEP) % np.uint64(64 * words)).astype(np.int64)
+    odd = np.bincount(at, minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _node(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
 def _nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, node (hash of the whole set; null if empty) and prefix, for every document."""
+    """doc_id, n, node (hash of the whole set; null if empty), prefix and parity, for every document.
+
+    A task gives prefix and parity once a node, so copies are combined before anything is shuffled.
+    """
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(docs, size))
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    schema = pa.schema(list(zip(("doc_id", "n", "node", "prefix", "parity"), kinds, strict=True)))
 
     def run(batches):
-        counts, rows, held = sketch.value, [], 0
+        counts, rows, held, given = sketch.value, [], 0, set()
 
-        def given():
+        def batch_of():
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for doc_id, hashes in _sets(batches, size):
             n = len(hashes)
-            if not n:
-                rows.append((doc_id, 0, None, None))
-                continue
-            often = np.minimum.reduce([counts[r][_cells(hashes, r)] for r in range(SKETCH_ROWS)])
-            order = np.argsort(np.log2(often + 1).astype(np.uint8), kind="stable")
-            prefix = hashes[order[: n - -(-percent * n // 100) + 1]].view(np.int64)
-            rows.append((doc_id, n, xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63), prefix))
-            held += len(prefix)
-            if held > 1 << 18:
-                yield given()
+            node = _node(hashes) if n else None
+            if not n or node in given:
+                rows.append((doc_id, n, node, None, None))
+            else:
+                given.add(node)
+                often = np.minimum.reduce([counts[r][_cells(hashes, r)] for r in range(SKETCH_ROWS)])
+                order = np.argsort(np.log2(often + 1).astype(np.uint8), kind="stable")
+                prefix = hashes[order[: n - -(-percent * n // 100) + 1]].view(np.int64)
+                rows.append((doc_id, n, node, prefix, parity(hashes)))
+                held += len(prefix)
+            if held > 1 << 18 or len(rows) > 10_000:
+                yield batch_of()
                 rows, held = [], 0
         if rows:
-            yield given()
+            yield batch_of()
+
+    return written(docs.mapInArrow(run, _ROW), "sets")
+
+
+class _Chunk:
+    """Distinct nodes of a chunk and their prefix tokens."""
+
+    def __init__(self, table: pa.Table):
+        nodes, first = np.unique(np.asarray(table["node"]), return_index=True)
+        prefixes = table["prefix"].combine_chunks()
+        parts = [np.asarray(prefixes[int(i)].values).view(np.uint64) for i in first]
+        self.token = np.concatenate(parts)
+        size = [len(p) for p in parts]
+        self.node = np.repeat(nodes, size)
+        self.n = np.repeat(np.asarray(table["n"])[first], size)
+        self.pos = np.concatenate([np.arange(k) for k in size])
+
+
+def _lists(sets: DataFrame) -> DataFrame:
+    """token, node, n and pos of the prefix tokens that two nodes share."""
+    total = sets.agg(F.sum(F.size("prefix")).alias("n")).first()["n"] or 0
+    chunks = max(1, -(-total // CHUNK_TOKENS))
+    nodes = sets.filter("prefix IS NOT NULL").select(F.pmod("node", F.lit(chunks)).cast("int").alias("chunk"), "node", "n", "prefix")
+    kept = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("pos", pa.int64())])
+
+    def first(table: pa.Table) -> pa.Table:
+        c = _Chunk(table)
+        return ask(table["chunk"][0].as_py(), codes(c.token, chunks), c.node, chunks)
 
-    return written(docs.mapInArrow(run, "doc_id long, n long, node long, prefix array<long>"), "sets")
+    def second(table: pa.Table, said: pa.Table) -> pa.Table:
+        if not len(table) or not len(said):
+            return arrow_table(kept, [])
+        c = _Chunk(table)
+        keep = np.isin(codes(c.token, chunks), answers(said))
+        return pa.table([pa.array(x[keep]) for x in (c.token.view(np.int64), c.node, c.n, c.pos)], schema=kept)
+
+    said = nodes.groupBy("chunk").applyInArrow(first, ddl(ASKED)).groupBy("shard").applyInArrow(answer, ddl(SAID))
+    return nodes.groupBy("chunk").cogroup(said.groupBy("chunk")).applyInArrow(second, ddl(kept))
+
+
+def _members_filter(wanted: DataFrame) -> np.ndarray:
+    """One bit a hash of the wanted ids, in an array of fixed size. More ids only let more rows pass."""
+    width = FILTER_BITS // FILTER_SLICES
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(width, np.uint8)
+        bits[pdf["bit"].to_numpy()] = 1
+        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
+
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    marks = wanted.select(F.floor(at / width).cast("int").alias("slice"), (at % width).cast("int").alias("bit")).distinct()
+    out = np.zeros((FILTER_SLICES, width // 8), np.uint8)
+    for r in marks.groupBy("slice").applyInPandas(mark, "slice int, bits binary").collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node and its set, for the nodes in ``wanted`` (doc_id of a member, node)."""
-    w = wanted.select(F.col("doc_id").alias("member"), F.col("node").alias("known"))
-    held = docs.join(w, F.col("doc_id").eqNullSafe(F.col("member"))).select("known", "text")
-    schema = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+    """node and its set, for the nodes in ``wanted`` (doc_id of a member, node). Texts are read, not moved."""
+    bits = docs.sparkSession.sparkContext.broadcast(_members_filter(wanted))
+    schema = pa.schema([("member", pa.int64()), ("known", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches):
-        for batch in text_batches(batches, 1, BATCH_BYTES):
-            rows = []
-            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes = shingle_set(text.encode() if text else b"", size)
-                if xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) == node:
-                    rows.append((node, hashes.view(np.int64)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    return held.mapInArrow(run, "node long, hashes array<long>")
+        for batch in batches:
+            at = np.asarray(batch.column(2))
+            inside = (bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            for part in text_batches([batch.filter(pa.array(inside.astype(bool)))], 1, BATCH_BYTES):
+                rows = []
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    hashes = shingle_set(text.encode() if text else b"", size)
+                    rows.append((doc_id, _node(hashes) if len(hashes) else None, hashes.view(np.int64)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    marked = docs.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
+    held = marked.mapInArrow(run, "member long, known long, hashes array<long>")
+    return held.join(wanted, (F.col("known") == F.col("node")) & F.col("member").eqNullSafe(F.col("doc_id"))).select("node", "hashes")
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and parity bits allow the threshold."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    total = F.col("na") + F.col("nb")
+    least = F.ceil(F.lit(percent) * total / (100 + percent))
+    fits = F.when(F.size("pa") == F.size("pb"), differ <= total - 2 * least).otherwise(F.lit(True))
+    return both.filter((F.least("na", "nb") >= least) & fits).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,51 +273,75 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left, right = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("ha", "hb"))
-    return both.filter(100 * shared >= percent * (F.size("ha") + F.size("hb") - shared)).select("a", "b")
+    return both.filter(100 * shared >= percent * (F.size("ha") + F.size("hb") - shared)).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and its component (smallest node reachable), for all nodes of ``edges`` (a, b).
 
-    Each round takes the smallest label of the neighbours, then the label's own label; labels are written
-    after each round, so neither lineage nor recomputation grows.
+    Trees of labels are hooked and flattened: in a round every node looks at the labels' labels of its
+    neighbours, takes the smallest, and so does its own label, which carries all nodes below it along.
+    Rounds grow with the logarithm of the longest path. Labels are written after each round, so neither
+    lineage nor recomputation grows.
     """
     edges = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
-    while True:
-        by = labels.select(F.col("node").alias("b"), F.col("label").alias("theirs"))
-        around = edges.join(by, "b").groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs"))
-        near = labels.join(around, "node").select("node", F.col("label").alias("old"), F.least("label", "theirs").alias("label"))
+    first = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label"))
+
+    def lifted(labels: DataFrame) -> DataFrame:
+        """With the label's own label, and whether the tree still moves."""
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        labels = written(near.join(up, "label").select("node", "old", F.least("label", "up").alias("label")), "labels")
-        if labels.filter("old != label").isEmpty():
+        return written(labels.join(up, "label"), "labels")
+
+    labels = lifted(first.withColumn("moved", F.lit(True)))
+    while True:
+        seen = labels.select(F.col("node").alias("b"), F.col("up").alias("seen"))
+        around = edges.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
+        near = labels.join(around, "node").select("node", "label", F.least("label", "up", "seen").alias("own"), "seen")
+        hooks = near.groupBy(F.col("label").alias("node")).agg(F.min("seen").alias("hook"))
+        now = near.join(hooks, "node", "left").select("node", F.least("own", F.coalesce("hook", "own")).alias("new"), "label")
+        labels = lifted(now.select("node", F.col("new").alias("label"), (F.col("new") != F.col("label")).alias("moved")))
+        if labels.filter("moved OR up != label").isEmpty():
             return labels.select("node", F.col("label").alias("component"))
 
 
 def _across(percent: int):
-    """Pairs of a list's sets in different components that size and position still allow."""
+    """Pairs of a list's sets in different components that size, position and parity bits still allow."""
 
-    def pairs_of(n, pos, node, comp):
+    def pairs_of(n, pos, node, comp, parities):
         starts = np.flatnonzero(np.r_[True, np.diff(n) != 0])  # blocks of equal size
         ends = np.r_[starts[1:], len(n)]
+        words = np.array([len(p) for p in parities])
+        row = np.empty(len(n), np.int64)
+        bits = {}
+        for w in np.unique(words).tolist():
+            members = np.flatnonzero(words == w)
+            row[members] = np.arange(len(members))
+            bits[w] = np.stack([parities[k] for k in members]).view(np.uint64)
         for i in range(1, len(n)):
             for s, e in zip(starts, ends, strict=True):
                 if s >= i:
                     break
                 if 100 * n[s] < percent * n[i]:
                     continue
-                least = -(-percent * (n[s] + n[i]) // (100 + percent))
+                total = int(n[s] + n[i])
+                least = -(-percent * total // (100 + percent))
                 if n[i] - pos[i] < least:
                     continue
                 upto = min(i, s + int(np.searchsorted(pos[s:e], n[s] - least, "right")))
-                for j in np.flatnonzero(comp[s:upto] != comp[i]) + s:
+                other = np.flatnonzero(comp[s:upto] != comp[i]) + s
+                if not len(other):
+                    continue
+                alike = words[other] == words[i]
+                table = bits[words[i]]
+                differ = np.bitwise_count(table[row[other[alike]]] ^ table[row[i]]).sum(axis=1, dtype=np.int64)
+                for j in [*other[alike][differ <= total - 2 * least].tolist(), *other[~alike].tolist()]:
                     yield (node[j], node[i]) if node[j] < node[i] else (node[i], node[j])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: set = set()
 
         def of(group: pd.DataFrame):
-            cols = [group[c].to_numpy() for c in ("token", "n", "pos", "node", "component")]
+            cols = [group[c].to_numpy() for c in ("token", "n", "pos", "node", "component", "parity")]
             cuts = [0, *(np.flatnonzero(np.diff(cols[0])) + 1).tolist(), len(group)]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 yield from pairs_of(*(c[s:e] for c in cols[1:]))
@@ -256,23 +375,33 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = _nodes(docs, size, percent)
-    nodes = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    lists = nodes.select("node", "n", "doc_id", F.posexplode("prefix").alias("pos", "token"))
+    nodes = sets.filter("prefix IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
+    members = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    lists = written(_lists(sets), "lists")
+
+    # one pair a set: the neighbour that it has in most of its lists
     at = Window.partitionBy("token").orderBy("n", "pos", "node")
-    lists = lists.withColumns({"prev": F.lag("node").over(at), "prev_n": F.lag("n").over(at), "next": F.lead("node").over(at)})
-    lists = written(lists.filter(F.col("prev").isNotNull() | F.col("next").isNotNull()).drop("next"), "lists")
+    beside = lists.select("node", F.lag("node").over(at).alias("prev"), "n", F.lag("n").over(at).alias("prev_n"))
+    beside = beside.filter((F.col("prev") != F.col("node")) & (F.col("prev_n") * 100 >= F.col("n") * percent))
+    often = beside.groupBy("node", "prev").agg(F.count("*").alias("times"))
+    best = often.groupBy("node").agg(F.max_by("prev", F.struct("times", "prev")).alias("prev"))
+    first = best.select(F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")).distinct()
+    first = written(_possible(first, nodes, percent), "pairs")
+    whole = written(_whole_sets(docs, _members_of(first, members), size), "whole")
+    links = written(_verified(first, whole, percent), "links")
+    labels = components(links)
 
-    near = lists.filter((F.col("prev").isNotNull()) & (F.col("prev_n") * 100 >= F.col("n") * percent))
-    first = written(near.select(F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")).distinct(), "pairs")
-    links, labels = _linked(first, lists, docs, size, percent)
     known = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    rest = known.join(several.select("token"), "token").select("token", "n", "pos", "node", "component")
+    rest = known.join(several.select("token"), "token").join(nodes.select("node", "parity"), "node")
+    rest = rest.select("token", "n", "pos", "node", "component", "parity")
     rest = rest.repartition("token").sortWithinPartitions("token", "n", "pos", "node").mapInPandas(_across(percent), "a long, b long")
     rest = written(rest.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        more, _ = _linked(rest, lists, docs, size, percent, labelled=False)
-        labels = components(links.union(more))
+        missing = written(_members_of(rest, members).join(whole.select("node").distinct(), "node", "left_anti"), "missing")
+        if not missing.isEmpty():
+            whole = whole.union(written(_whole_sets(docs, missing, size), "whole"))
+        labels = components(links.union(_verified(rest, whole, percent)))
 
     placed = sets.select("doc_id", "n", "node").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
@@ -281,11 +410,6 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _linked(pairs: DataFrame, lists: DataFrame, docs: DataFrame, size: int, percent: int, labelled: bool = True):
-    """The verified pairs, written, and the components they make."""
-    used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = lists.select("node", "doc_id").distinct().join(used, "node")
-    links = written(_verified(pairs, written(_whole_sets(docs, wanted, size).dropDuplicates(["node"]), "whole"), percent), "links")
-    return links, components(links) if labelled else None
-
-
+def _members_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """doc_id of a member and node, for the nodes of the pairs."""
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(members, "node").select("doc_id", "node")

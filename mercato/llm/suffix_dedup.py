@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.shared_hashes import ASKED, SAID, answer, answers, arrow_table, ask, codes, ddl
 from mercato.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 24
@@ -38,22 +39,10 @@ SHARDS_A_CHUNK = 2
 LAST = np.iinfo(np.int64).max
 
 _U = np.uint64
-_ASKED = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("hashes", pa.binary()), ("shared", pa.binary())])
-_SAID = pa.schema([("chunk", pa.int32()), ("shard", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
 _SENT = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("numbers", pa.binary()), ("lengths", pa.binary()), ("least", pa.binary()), ("most", pa.binary()), ("body", pa.binary())])
 _ROWS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
-def _ddl(schema: pa.Schema) -> str:
-    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.string(): "string"}
-    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
-
-
-def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
-    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 def least_hashes(body: np.ndarray) -> np.ndarray:
     """For each window of LENGTH bytes the least hash of the grams inside it."""
     if len(body) < LENGTH:
@@ -93,16 +82,12 @@ class Runs:
         pick = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
         self.value, self.doc, self.at, self.windows = pick(value, _U), pick(doc, np.int64), pick(at, np.int64), pick(windows, np.int64)
 
-    def codes(self, shards: int) -> np.ndarray:
-        """Shard and 32 bits of each run's hash, as one number."""
-        return (((self.value >> _U(32)) % _U(shards)) << _U(32)) | (mixed_low(self.value))
-
-    def shared(self, codes: np.ndarray, answers: np.ndarray) -> tuple[dict[tuple[int, bytes], int], np.ndarray, np.ndarray]:
+    def shared(self, code: np.ndarray, wanted: np.ndarray) -> tuple[dict[tuple[int, bytes], int], np.ndarray, np.ndarray]:
         """Numbers of the distinct runs under shared hashes, and for each occurrence its number and place."""
-        keep = np.flatnonzero(np.isin(codes, answers))
+        keep = np.flatnonzero(np.isin(code, wanted))
         numbers: dict[tuple[int, bytes], int] = {}
         which = np.empty(len(keep), np.int64)
-        cells = (codes[keep] >> _U(32)).astype(np.int64).tolist()
+        cells = (code[keep] >> _U(32)).astype(np.int64).tolist()
         for k, (i, shard) in enumerate(zip(keep.tolist(), cells, strict=True)):
             start = self.at[i]
             text = self.bodies[self.doc[i]][start : start + self.windows[i] + LENGTH - 1].tobytes()
@@ -114,58 +99,24 @@ def hash_of(body: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
 
 
-def mixed_low(value: np.ndarray) -> np.ndarray:
-    return (value * _U(0x94D049BB133111EB)) >> _U(32)
-
-
 def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
     """Step 1, chunk: its distinct hashes by shard, and which of them two of its documents share."""
 
     def run(chunk: pa.Table) -> pa.Table:
         runs = Runs(chunk)
-        codes = runs.codes(shards)
-        order = np.lexsort([runs.ids[runs.doc] if len(codes) else codes, codes])
-        codes, ids = codes[order], runs.ids[runs.doc[order]] if len(order) else order
-        starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, int)
-        ends = np.r_[starts[1:], len(codes)].astype(int)
-        two = ids[starts] != ids[ends - 1] if len(starts) else np.empty(0, bool)
-        distinct = codes[starts] if len(starts) else codes
-        cell = (distinct >> _U(32)).astype(np.int64)
-        cuts = np.searchsorted(cell, np.arange(shards + 1))
-        me = chunk["chunk"][0].as_py()
-        low = (distinct & _U(0xFFFFFFFF)).astype("<u4")
-        return _table(_ASKED, [(s, me, low[a:b].tobytes(), np.packbits(two[a:b]).tobytes()) for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a])
+        return ask(chunk["chunk"][0].as_py(), codes(runs.value, shards), runs.ids[runs.doc], shards)
 
     return run
 
 
-def _answer(asked: pa.Table) -> pa.Table:
-    """Step 1, shard: to each chunk those of its hashes that two documents share."""
-    lists = [np.frombuffer(b, "<u4") for b in asked["hashes"].to_pylist()]
-    own = [np.unpackbits(np.frombuffer(b, np.uint8))[: len(h)].astype(bool) for b, h in zip(asked["shared"].to_pylist(), lists, strict=True)]
-    every = np.sort(np.concatenate(lists))
-    several = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[h[o] for h, o in zip(lists, own, strict=True)]]))
-    shard, rows = asked["shard"][0].as_py(), []
-    for c, h in zip(asked["chunk"].to_pylist(), lists, strict=True):
-        got = h[np.isin(h, several)]
-        if len(got):
-            rows.append((c, shard, 1, got.tobytes()))
-    return _table(_SAID, rows)
-
-
-def _answers(said: pa.Table) -> np.ndarray:
-    parts = [(_U(s) << _U(32)) | np.frombuffer(b, "<u4").astype(_U) for s, p, b in zip(said["shard"].to_pylist(), said["part"].to_pylist(), said["data"].to_pylist(), strict=True) if p == 1]
-    return np.concatenate(parts) if parts else np.empty(0, _U)
-
-
 def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Step 2, chunk: its distinct runs under shared hashes, with the smallest and largest id of each."""
 
     def run(chunk: pa.Table, said: pa.Table) -> pa.Table:
         if not len(chunk) or not len(said):
-            return _table(_SENT, [])
+            return arrow_table(_SENT, [])
         runs = Runs(chunk)
-        numbers, which, keep = runs.shared(runs.codes(shards), _answers(said))
+        numbers, which, keep = runs.shared(codes(runs.value, shards), answers(said))
         ids = runs.ids[runs.doc[keep]]
         least, most = np.full(len(numbers), LAST), np.full(len(numbers), np.iinfo(np.int64).min)
         np.minimum.at(least, which, ids)
@@ -177,7 +128,7 @@ def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         for shard, items in by.items():
             k = np.array([i for i, _ in items], "<i4")
             rows.append((shard, me, k.tobytes(), np.array([len(t) for _, t in items], "<i4").tobytes(), least[k].tobytes(), most[k].tobytes(), b"".join(t for _, t in items)))
-        return _table(_SENT, rows)
+        return arrow_table(_SENT, rows)
 
     return run
 
@@ -239,7 +190,7 @@ def _resolve(sent: pa.Table) -> pa.Table:
             told += [(numbers[k], a, b, part[a]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         if told:
             rows.append((chunk, shard, 2, np.array(told, np.int64).tobytes()))
-    return _table(_SAID, rows)
+    return arrow_table(SAID, rows)
 
 
 def _cut(shards: int, with_kept: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -247,14 +198,14 @@ def _cut(shards: int, with_kept: bool) -> Callable[[pa.Table, pa.Table], pa.Tabl
 
     def run(chunk: pa.Table, said: pa.Table) -> pa.Table:
         if not len(chunk):
-            return _table(_ROWS, [])
+            return arrow_table(_ROWS, [])
         runs = Runs(chunk)
         cover = [np.zeros(len(b) + 1, np.int32) if len(b) >= LENGTH else None for b in runs.bodies]
         told = [np.frombuffer(b, np.int64).reshape(-1, 4) for p, b in zip(said["part"].to_pylist(), said["data"].to_pylist(), strict=True) if p == 2]
         if told:
             told = np.concatenate(told)
             told = told[np.argsort(told[:, 0], kind="stable")]
-            _, which, keep = runs.shared(runs.codes(shards), _answers(said))
+            _, which, keep = runs.shared(codes(runs.value, shards), answers(said))
             low, high = np.searchsorted(told[:, 0], which), np.searchsorted(told[:, 0], which, "right")
             times = high - low
             each = np.repeat(np.arange(len(which)), times)
@@ -274,7 +225,7 @@ def _cut(shards: int, with_kept: bool) -> Callable[[pa.Table, pa.Table], pa.Tabl
             kept = body[~gone].tobytes()
             spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and gone[0]))
             rows.append((int(runs.ids[d]) if runs.real[d] else None, len(body), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
-        return _table(_ROWS, rows)
+        return arrow_table(_ROWS, rows)
 
     return run
 
@@ -288,8 +239,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shards = chunks * SHARDS_A_CHUNK
     chunk = F.pmod(F.xxhash64("doc_id", F.octet_length("body"), F.crc32("body")), F.lit(chunks)).cast("int")
     rows = rows.select(chunk.alias("chunk"), "doc_id", "body")
-    asked = rows.groupBy("chunk").applyInArrow(_ask(shards), _ddl(_ASKED))
-    said = asked.groupBy("shard").applyInArrow(_answer, _ddl(_SAID))
-    sent = rows.groupBy("chunk").cogroup(said.groupBy("chunk")).applyInArrow(_send(shards), _ddl(_SENT))
-    told = sent.groupBy("shard").applyInArrow(_resolve, _ddl(_SAID))
-    return rows.groupBy("chunk").cogroup(said.union(told).groupBy("chunk")).applyInArrow(_cut(shards, with_kept), _ddl(_ROWS))
+    asked = rows.groupBy("chunk").applyInArrow(_ask(shards), ddl(ASKED))
+    said = asked.groupBy("shard").applyInArrow(answer, ddl(SAID))
+    sent = rows.groupBy("chunk").cogroup(said.groupBy("chunk")).applyInArrow(_send(shards), ddl(_SENT))
+    told = sent.groupBy("shard").applyInArrow(_resolve, ddl(SAID))
+    return rows.groupBy("chunk").cogroup(said.union(told).groupBy("chunk")).applyInArrow(_cut(shards, with_kept), ddl(_ROWS))

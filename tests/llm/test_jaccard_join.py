@@ -72,6 +72,18 @@ def test_query_matches_sql(spark):
     assert any(i != c for i, _, c in rows)
 
 
+def test_components_of_a_shuffled_path_take_few_rounds(spark, monkeypatch):
+    import mercato.llm.jaccard_join as J
+
+    rounds = []
+    monkeypatch.setattr(J, "written", lambda df, name, to=J.written: (rounds.append(name), to(df, name))[1])
+    ids = list(range(600))
+    random.Random(5).shuffle(ids)
+    edges = spark.createDataFrame([(min(p), max(p)) for p in zip(ids, ids[1:], strict=False)], "a long, b long")
+    assert {r.component for r in components(edges).collect()} == {0}
+    assert rounds.count("labels") <= 14
+
+
 def test_long_chain_and_empty(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(500, 600), (550, 600)], "a long, b long")
     want = {i: 0 for i in range(301)} | {500: 500, 550: 500, 600: 500}
