@@ -52,7 +52,8 @@ def answer(asked: pa.Table) -> pa.Table:
     several = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[h[o] for h, o in zip(lists, own, strict=True)]]))
     shard, rows = asked["shard"][0].as_py(), []
     for c, h in zip(asked["chunk"].to_pylist(), lists, strict=True):
-        got = h[np.isin(h, several)]
+        at = np.minimum(np.searchsorted(several, h), len(several) - 1)  # both are sorted
+        got = h[several[at] == h] if len(several) else h[:0]
         if len(got):
             rows.append((c, shard, 1, got.tobytes()))
     return arrow_table(SAID, rows)

@@ -142,10 +142,12 @@ def earliest(texts: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     size = np.array([len(t) for t in texts])
     starts = np.r_[0, np.cumsum(size + 1)[:-1]]
     end = int(starts[-1] + size[-1])
-    symbols = body[: end + 1].astype(np.int32) + 2
+    used = np.bincount(body[:end], minlength=256) > 0
+    dense = np.cumsum(used).astype(np.int32) + 1  # bytes that occur, from 2 on
+    symbols = dense[body[: end + 1]]
     symbols[starts[1:] - 1] = 1
     symbols[end] = 0
-    order = suffix_array(symbols, 258, LENGTH)
+    order = suffix_array(symbols, int(used.sum()) + 2, LENGTH)
     owner = np.repeat(np.arange(len(texts)), size + 1)
     window = np.arange(end + 1) - starts[owner] <= size[owner] - LENGTH
     order = order[window[order]]
@@ -178,18 +180,24 @@ def _resolve(sent: pa.Table) -> pa.Table:
     texts = list(known)
     low, starts = earliest(texts, np.array(ids))
     windows = np.array([len(t) for t in texts]) - LENGTH + 1
-    # runs of windows with the same smallest id, by text
+    least = np.minimum.reduceat(low, starts)  # places that start no window hold the largest id
+    change = np.flatnonzero(low[1:] != low[:-1]) + 1
     shard, rows = sent["shard"][0].as_py(), []
-    least = np.array([low[s : s + w].min() for s, w in zip(starts.tolist(), windows.tolist(), strict=True)])
     for chunk, numbers, own, most in chunks:
-        told = []
-        for k in np.flatnonzero(least[own] < most).tolist():
-            s, w = starts[own[k]], windows[own[k]]
-            part = low[s : s + w]
-            cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, w]
-            told += [(numbers[k], a, b, part[a]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        if told:
-            rows.append((chunk, shard, 2, np.array(told, np.int64).tobytes()))
+        hit = np.flatnonzero(least[own] < most)
+        if not len(hit):
+            continue
+        # each run's windows, cut where their smallest id changes
+        s, e = starts[own[hit]], starts[own[hit]] + windows[own[hit]]
+        inner, past = np.searchsorted(change, s, "right"), np.searchsorted(change, e, "left")
+        count = past - inner + 1
+        run = np.repeat(np.arange(len(hit)), count)
+        k = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+        bounds = np.append(change, len(low))
+        a = np.where(k == 0, s[run], bounds[np.maximum(inner[run] + k - 1, 0)])
+        z = np.where(k == count[run] - 1, e[run], bounds[np.minimum(inner[run] + k, len(change))])
+        told = np.column_stack([numbers[hit][run], a - s[run], z - s[run], low[a]]).astype(np.int64)
+        rows.append((chunk, shard, 2, told.tobytes()))
     return arrow_table(SAID, rows)
 
 
