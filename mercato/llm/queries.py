@@ -16,7 +16,7 @@ from mercato.llm.license_scan import license_scan
 from mercato.llm.mixing import mix
 from mercato.llm.packing import pack
 from mercato.llm.quality_classifier import classify, fit
-from mercato.llm.quality_rules import likelihood_ratios, quality_rules
+from mercato.llm.quality_rules import ORDER, likelihood_ratios, quality_rules
 from mercato.llm.secret_scan import secret_scan, span_text
 from mercato.llm.suffix_dedup import remove_repeats
 
@@ -68,9 +68,9 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ratios = likelihood_ratios(docs, table(spark, sf_dir, "labels"))
+    ratios = likelihood_ratios(docs, table(spark, sf_dir, "labels"), order=ORDER)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept"]
-    return quality_rules(docs, ratios).select(*columns)
+    return quality_rules(docs, ratios, order=ORDER).select(*columns)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Quality rules against a brute-force version."""
 
 import math
+import random
 import re
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from mercato.llm.quality_rules import likelihood_ratios, quality_rules
+from mercato.llm.quality_rules import ORDER, likelihood_ratios, quality_rules
 
 GAP = re.compile("[\x20\x09-\x0d]+")
 
@@ -64,3 +65,49 @@ def test_junk_is_rejected_and_good_text_kept(spark):
     kept = {r.quality: r for r in rows}
     assert kept[1].v > 0.99 and kept[0].k < 0.5
     assert kept[1].k == pytest.approx(kept[1].v, abs=0.2)
+
+
+def _pair_hash(a, b):
+    first, second = (xxhash.xxh64_intdigest(x.encode(), 42) for x in (a, b))
+    return xxhash.xxh64_intdigest(second.to_bytes(8, "little"), xxhash.xxh64_intdigest(first.to_bytes(8, "little"), 42))
+
+
+def test_pairs_match_brute_force(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(CASES[:-1])] + [(100, "one two"), (None, "null id a b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(5, 1), (7, 1), (7, 0), (9, 0)], "doc_id long, quality int")
+    n, rows = 64, docs.collect()
+    found = {k: ([0] * n, [0] * n) for k in (1, 2)}
+    cells = {}
+    for r in rows:
+        w = [x for x in GAP.split(r.text or "") if x]
+        cells[r.doc_id] = {1: [_pmod(xxhash.xxh64_intdigest(x.encode(), 42), n) for x in w], 2: [_pmod(_pair_hash(*p), n) for p in zip(w, w[1:], strict=False)]}
+        for k, c in cells[r.doc_id].items():
+            for x in c:
+                found[k][0][x] += r.doc_id in (5, 7)
+                found[k][1][x] += 1
+    want = [math.log(t + 1) - math.log(a + 1) + math.log(sum(raw) + n) - math.log(sum(target) + n) for target, raw in found.values() for t, a in zip(target, raw, strict=True)]
+    ratios = likelihood_ratios(docs, labels, buckets=n, order=2)
+    assert ratios == pytest.approx(want)
+    for r in quality_rules(docs, ratios, order=2).collect():
+        each = [ratios[x] for x in cells[r.doc_id][1]] + [ratios[n + x] for x in cells[r.doc_id][2]]
+        assert r.llr == pytest.approx(sum(each) / len(each) if each else 0.0, abs=1e-9)
+
+
+def test_shuffled_words_are_rejected(spark):
+    rng = random.Random(5)
+    vocabulary = [f"word{i}" for i in range(300)]
+    after = {w: rng.sample(vocabulary, 4) for w in vocabulary}
+
+    def text():
+        out = [rng.choice(vocabulary)]
+        while len(out) < 150:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    clean = [text() for _ in range(400)]
+    salad = [rng.sample(t, len(t)) for t in clean]
+    rows = [(i, " ".join(t)) for i, t in enumerate(clean + salad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rules(docs, likelihood_ratios(docs, labels, buckets=1 << 12, order=ORDER), order=ORDER).collect()}
+    assert all(got[i].kept for i in range(400)) and not any(got[i].kept for i in range(400, 800))
