@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.llm.mixing import TARGETS, mix, rake
+from mercato.llm.mixing import TARGETS, calibrate, mix, rake
 from mercato.llm.queries import op10_mixing
 
 
@@ -60,3 +60,28 @@ def test_nulls_repeats_and_empty(spark):
     assert len({r.kept for r in got if r.doc_id == 1}) == 1
     assert mix(df.limit(0)).count() == 0
     assert [r.kept for r in mix(df.filter("doc_id = 3")).collect()] == [True]  # no tokens at all: weight 1
+
+
+def test_a_rare_source_does_not_shrink_the_draw(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, "w " * int(rng.integers(30, 90)), "hot" if i % 3 == 0 else f"s{i % 10}", ("en", "de")[i % 7 == 0], ("p", "q", None)[i % 11 % 3]) for i in range(3000)]
+    rows.append((3000, "w " * 34, "rare", "en", "p"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
+    got = mix(docs, topic="topic").toPandas()
+    assert (got.tokens * got.probability).sum() / got.tokens.sum() == pytest.approx(0.5, rel=1e-6)
+    assert got[got.source == "rare"].probability.item() == 1
+    assert got[got.kept].tokens.sum() / got.tokens.sum() == pytest.approx(0.5, abs=0.05)
+    for k in ("source", "lang", "topic"):
+        name = got[k].fillna("none")
+        goal = (got.tokens * got.weight).groupby(name).sum() / got.tokens.sum()
+        drawn = (got.tokens * got.probability).groupby(name).sum()
+        assert np.allclose((drawn / drawn.sum()).drop("rare", errors="ignore"), goal.drop("rare", errors="ignore"), rtol=0.01)
+
+
+def test_budget_is_met_under_caps(spark):
+    cells = [("a", "x", "p", 900), ("a", "y", "p", 50), ("b", "x", "q", 30), ("b", "y", "p", 10), ("c", "x", "p", 5), (None, None, "q", 5)]
+    weights = rake(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long"), {"source": 0.0, "lang": 0.5, "topic": 0.5})
+    for keep in (0.05, 0.5, 0.9, 1.0):
+        rows = calibrate(weights, keep).collect()
+        assert all(0 <= r.probability <= 1 for r in rows) and len(rows) == 6
+        assert sum(r.tokens * r.probability for r in rows) == pytest.approx(keep * 1000, rel=1e-6)
