@@ -52,3 +52,18 @@ def test_defined_cases(spark):
     rows = license_scan(df).collect()
     assert [len(r.licenses) for r in rows] == [0, 0, 300, 0]
     assert license_scan(df.limit(0)).count() == 0
+
+
+def names(text):
+    return [h[1] for h in Scanner(TEMPLATES).scan(text)]
+
+
+def test_kin_are_told_apart_and_short_lines_may_lack_a_word():
+    for name, text in TEMPLATES.items():
+        assert [(h[1], h[3]) for h in Scanner(TEMPLATES).scan(f"x y {text} z")] == [(name, 1.0)]
+    notice = TEMPLATES["MIT-notice"]
+    assert names(notice[: notice.index(", including")]) == []
+    assert names(TEMPLATES["LGPL-2.1-notice"].replace("Lesser ", "Other ")) == []
+    assert names("This work is licensed under a Creative Commons Attribution-Other 4.0 International License.") == []
+    assert names("Released under MIT License.") == ["MIT"]
+    assert names("Licensed under CC BY 4.0.") == []
