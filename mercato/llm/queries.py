@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import secret_scan as S
+from mercato.llm.centroid_clustering import cluster
+from mercato.llm.chat_formatting import read_chats
 from mercato.llm.common import table, text_fold
 from mercato.llm.fingerprints import fingerprints
 from mercato.llm.jaccard_join import jaccard_groups
 from mercato.llm.language_id import identify, learn
 from mercato.llm.license_scan import license_scan
+from mercato.llm.merkle_manifest import folded, manifest, proof
+from mercato.llm.oracles import chats_sql, clusters_sql, manifest_sql
 from mercato.llm.mixing import mix
 from mercato.llm.packing import pack
 from mercato.llm.quality_classifier import classify, fit
@@ -82,6 +86,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, drop_text=True).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return read_chats(chats.union(planted), public_tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null ids count as empty text in the choice of rows to tamper with."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.when(text_fold(F.col("doc_id"), 5) == 0, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    rows = manifest(table(spark, sf_dir, "documents"), altered={"text": tampered})
+    rows = rows.withColumn("folded_root", folded(F.col("altered_leaf"), F.col("steps")))
+    return rows.select("doc_id", "leaf", "subroot", "root", proof(F.col("steps")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -94,6 +120,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_fingerprints": op9_fingerprints,
         "op10_mixing": op10_mixing,
+        "op11_chat_formatting": op11_chat_formatting,
+        "op12_centroid_clustering": op12_centroid_clustering,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -180,4 +209,11 @@ FROM t LEFT JOIN base ON base.doc_id = t.doc_id LEFT JOIN every ON every.doc_id
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_suffix_dedup": SUFFIX_SQL, "op5_secret_scan": _secret_sql(), "op7_jaccard_join": JACCARD_SQL}
+    return {
+        "op3_suffix_dedup": SUFFIX_SQL,
+        "op5_secret_scan": _secret_sql(),
+        "op7_jaccard_join": JACCARD_SQL,
+        "op11_chat_formatting": chats_sql(),
+        "op12_centroid_clustering": clusters_sql(),
+        "op13_merkle_manifest": manifest_sql(),
+    }

@@ -1,5 +1,7 @@
 """Queries that SQL can express against their SQL."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -8,10 +10,16 @@ from mercato.llm.queries import llm_oracles, llm_queries
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("key", sorted(llm_oracles()))
-def test_query_matches_sql(spark, key):
+@pytest.fixture(scope="module")
+def con():
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for f in os.listdir(SF):
+        con.sql(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
+    return con
+
+
+@pytest.mark.parametrize("key", sorted(llm_oracles()))
+def test_query_matches_sql(spark, con, key):
     want = con.sql(llm_oracles()[key])
     df = llm_queries()[key](spark, SF)
     assert sorted(df.columns) == sorted(want.columns)
