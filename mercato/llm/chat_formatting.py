@@ -32,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +68,8 @@ class Codec:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
         self.encoding = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.reserved = max(ranks.values()) + 1
+        #: Ids travel in as few bytes as the largest needs.
+        self.packed = "<u2" if self.reserved + len(MARKS) <= 1 << 16 else "<u4"
 
     def ids(self, text: str) -> np.ndarray:
         parts = [self.encoding.encode_ordinary(text[a : a + SEGMENT]) for a in range(0, len(text), SEGMENT)]
@@ -125,7 +126,7 @@ def _encoded(path: str, pattern: str):
         known = codec(path, pattern)
         for batch in text_batches(batches, 3, BATCH_BYTES):
             rows = [known.turn(r, t) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            ids = pa.ListArray.from_arrays(np.cumsum([0, *[len(r[0]) for r in rows]]).astype(np.int32), np.concatenate([r[0] for r in rows]))
+            ids = pa.array([r[0].astype(known.packed).tobytes() for r in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], ids, pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], names=names)
 
     return run
@@ -143,8 +144,8 @@ def mask(length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def _assembled(begin: int):
-    """Pieces of sorted rows (conv_id, block, ids, loss_from, loss_upto)."""
+def _assembled(begin: int, packed: str):
+    """Pieces of sorted rows (conv_id, block, ids as bytes, loss_from, loss_upto)."""
 
     def piece(key: tuple, part: int, held: list) -> tuple:
         offsets = 1 + np.cumsum([0, *[len(h[0]) for h in held]])[:-1]
@@ -158,15 +159,13 @@ def _assembled(begin: int):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECE, strict=True)], schema=_PIECE)
 
         for batch in batches:
-            flat, cuts = np.asarray(batch.column(2).flatten()), np.cumsum([0, *pc.list_value_length(batch.column(2)).to_pylist()])
-            rows = zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)), strict=True)
-            for k, (conv_id, block, start, upto) in enumerate(rows):
+            for conv_id, block, ids, start, upto in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
                 if held and (key != (conv_id, block) or size >= PIECE_TOKENS):
                     out.append(piece(key, part, held))
                     part, waiting, held, size = part + 1, waiting + size, [], 0
                 if key != (conv_id, block):
                     key, part = (conv_id, block), 0
-                held.append((flat[cuts[k] : cuts[k + 1]], start, upto))
+                held.append((np.frombuffer(ids, packed).astype(np.int32), start, upto))
                 size += len(held[-1][0])
                 if waiting > PIECE_TOKENS or len(out) >= 1000:
                     yield batch_of(out)
@@ -186,11 +185,11 @@ def format_chats(chats: DataFrame, tokenizer: str, pattern: str, conv_id: str =
     A conversation whose turn numbers share one block is one piece, unless it has more than ``PIECE_TOKENS``.
     """
     rows = chats.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
-    rows = rows.mapInArrow(_encoded(tokenizer, pattern), "conv_id long, turn long, role string, ids array<int>, loss_from int, loss_upto int")
+    rows = rows.mapInArrow(_encoded(tokenizer, pattern), "conv_id long, turn long, role string, ids binary, loss_from int, loss_upto int")
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(NO_TURN)).cast("long"))
     dealt = rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role", "ids")
-    begin = codec(tokenizer, pattern).reserved + BEGIN
-    return dealt.select("conv_id", "block", "ids", "loss_from", "loss_upto").mapInArrow(_assembled(begin), _PIECE_DDL)
+    known = codec(tokenizer, pattern)
+    return dealt.select("conv_id", "block", "ids", "loss_from", "loss_upto").mapInArrow(_assembled(known.reserved + BEGIN, known.packed), _PIECE_DDL)
 
 
 class _Reader:
