@@ -1,4 +1,4 @@
-"""Build: checks on raw + staging gate the marts; marts are written once, then checked.
+"""Build: checks on raw + staging gate the marts; marts are written once, checked, and published together.
 
 The analyses then read the stored marts (as the reference's queries read its
 mart tables) instead of recomputing the whole chain each time.
@@ -11,13 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.operators.quality import assert_passed, run_checks
-from mercato.operators.ranking import write_scratch_table
 from mercato.plans.checks import MART_CHECKS, RAW_CHECKS, STAGING_CHECKS, check_frames
 from mercato.plans import intermediate as I
 from mercato.plans import marts as M
 from mercato.schemas import RAW_TABLE_NAMES
 from mercato.plans.layers import Layers
-from mercato.sources.sinks import read_table, write_table
+from mercato.sources.store import TableStore
 
 # Stored tables and their partition columns.
 STORED = {
@@ -38,42 +37,48 @@ class Marts:
 
 
 def store_raw(spark: SparkSession, layers: Layers, raw_dir: str) -> Layers:
-    """Write the nine raw tables once (the warehouse's raw layer); return layers over them."""
-    base = raw_dir.rstrip("/")
+    """Load the nine raw tables into their store (the warehouse's raw layer); return layers over them."""
+    load = TableStore(spark, raw_dir).load()
     for name in RAW_TABLE_NAMES:
-        write_table(getattr(layers.raw, name), f"{base}/{name}", mode="overwrite")
-    return Layers.from_raw_dir(spark, base)
-
-
-def _store(spark: SparkSession, df: DataFrame, target_dir: str, name: str) -> DataFrame:
-    path = f"{target_dir.rstrip('/')}/{name}"
-    write_table(df, path, mode="overwrite", partition_by=STORED[name])
-    return read_table(spark, path, like=df)
+        load.write(name, getattr(layers.raw, name))
+    load.publish()
+    return Layers.from_raw_dir(spark, raw_dir)
 
 
 def build_marts(spark: SparkSession, layers: Layers, target_dir: str, *, gate: bool = True) -> Marts:
-    """Check raw + staging (raise on failure), write the stored tables, check the marts.
+    """Check raw + staging (raise on failure), write the stored tables, check the marts, publish them.
 
     The two fact tables are written first; both marts are then computed from
     the stored facts (the order fact carries every order column they read), so
-    no layer is computed twice and the written tables cut the lineage.
+    no layer is computed twice and the written tables cut the lineage. All tables take
+    the place of the previous build's at once; a build that fails changes nothing.
     """
     if gate:  # a failing layer stops everything after it
         frames = check_frames(layers)
         assert_passed(run_checks(frames, RAW_CHECKS))
         assert_passed(run_checks(frames, STAGING_CHECKS))
-    items = _store(spark, layers.int_order_items_enriched, target_dir, "int_order_items_enriched")
+    load = TableStore(spark, target_dir).load()
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        return load.write(name, df, partition_by=STORED[name])
+
+    items = stored("int_order_items_enriched", layers.int_order_items_enriched)
     orders = I.int_orders_enriched(layers.stg_orders, layers.stg_customers, layers.stg_order_reviews,
                                    I.int_orders_aggregated(items))
-    fct = _store(spark, M.fct_orders(orders), target_dir, "fct_orders")
+    fct = stored("fct_orders", M.fct_orders(orders))
     # one join of items and delivered orders, written once, feeds both marts
-    lines = _store(spark, M.delivered_item_lines(items, fct), target_dir, "delivered_lines")
-    marts = {"fct_orders": fct, "mart_category_performance": M.mart_category_from_lines(lines),
-             "mart_seller_performance": M.mart_seller_from_lines(lines)}
-    # marts are staged, checked, and only then take the place of the ones in use
-    staged = {k: fct if k == "fct_orders" else write_scratch_table(df, k) for k, df in marts.items()}
+    lines = stored("delivered_lines", M.delivered_item_lines(items, fct))
+    category = stored("mart_category_performance", M.mart_category_from_lines(lines))
+    seller = stored("mart_seller_performance", M.mart_seller_from_lines(lines))
     if gate:
-        assert_passed(run_checks(staged, MART_CHECKS))
-    cat = _store(spark, staged["mart_category_performance"], target_dir, "mart_category_performance")
-    sel = _store(spark, staged["mart_seller_performance"], target_dir, "mart_seller_performance")
-    return Marts(items, fct, cat, sel)
+        marts = {"fct_orders": fct, "mart_category_performance": category, "mart_seller_performance": seller}
+        assert_passed(run_checks(marts, MART_CHECKS))
+    load.publish()
+    return Marts(items, fct, category, seller)
+
+
+def open_marts(spark: SparkSession, target_dir: str) -> Marts:
+    """The marts of the last build that was published."""
+    tables = TableStore(spark, target_dir).tables()
+    names = ("int_order_items_enriched", "fct_orders", "mart_category_performance", "mart_seller_performance")
+    return Marts(*[tables[n].read(spark) for n in names])

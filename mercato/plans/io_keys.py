@@ -13,10 +13,9 @@ from mercato.plans import staging
 from mercato.plans.layers import Layers
 from mercato.schemas import RAW_TABLE_NAMES
 from mercato.session import scratch_path
-from pyspark.sql import functions as F
-
-from mercato.sources.raw import RAW_SOURCES, ingest_all, profile, read_raw_csv, validate_frame
+from mercato.sources.raw import RAW_SOURCES, ingest_all, profile, read_raw_csv, validated
 from mercato.sources.sinks import register_views, run_sql, write_table
+from mercato.sources.store import TableStore
 
 
 def _write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
@@ -77,17 +76,19 @@ def _through_catalog(spark: SparkSession, df: DataFrame, namespace: str, name: s
 
 
 def sink_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category mart as a catalog table of the marts' namespace, partitioned by year."""
+    """The category mart, partitioned by year, loaded into a store of versioned tables and read as published."""
     mart = Layers.from_testdata(spark, sf_dir).mart_category_performance
-    return _through_catalog(spark, mart, "mercato_marts", "mart_category_performance", mode="WRITE_TRUNCATE", partition_by=["purchase_year"])
+    base = scratch_path(spark, "marts")
+    load = TableStore(spark, base).load()
+    load.write("mart_category_performance", mart, mode="WRITE_TRUNCATE", partition_by=["purchase_year"])
+    load.publish()
+    return TableStore(spark, base).read("mart_category_performance")
 
 
 def src_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validate every raw table (raises when empty or with duplicate columns); one row each."""
     raw = Layers.from_testdata(spark, sf_dir).raw.as_dict()
-    checked = {name: validate_frame(df, name) for name, df in raw.items()}
-    return profile(checked).select("table_name", "row_count", "column_count",
-                                   F.lit("accepted").alias("validation"))
+    return validated(raw).select("table_name", "row_count", "column_count", "validation")
 
 
 def sink_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import intermediate, marts, staging
 from mercato.schemas import RAW_TABLE_NAMES
+from mercato.sources.store import TableStore
 from mercato.sources.testdata import RawTables, raw_tables_from_testdata
 
 
@@ -26,7 +27,10 @@ class Layers:
 
     @classmethod
     def from_raw_dir(cls, spark: SparkSession, raw_dir: str) -> "Layers":
-        """Layers over raw tables already stored as parquet (``<raw_dir>/<table>``)."""
+        """Layers over the raw tables published in a store, or kept as plain folders (``<raw_dir>/<table>``)."""
+        held = TableStore(spark, raw_dir).tables()
+        if held:
+            return cls(RawTables(**{n: held[n].read(spark) for n in RAW_TABLE_NAMES}))
         base = raw_dir.rstrip("/")
         return cls(RawTables(**{n: spark.read.parquet(f"{base}/{n}") for n in RAW_TABLE_NAMES}))
 
