@@ -2,10 +2,10 @@
 
 from mercato.operators.relational import (bucketize, distinct_rows,
                                           latest_per_key, share_of_total, topk,
-                                          topk_semi_join)
+                                          topk_semi_join, using_left)
 from mercato.operators.ranking import global_rank, ntile_from_rank
 
 __all__ = [
     "bucketize", "distinct_rows", "latest_per_key", "share_of_total",
-    "topk", "topk_semi_join", "global_rank", "ntile_from_rank",
+    "topk", "topk_semi_join", "using_left", "global_rank", "ntile_from_rank",
 ]

@@ -33,6 +33,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
         .select(*df.columns)
 
 
+def using_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on shared key columns, kept once; keys missing on the right leave its columns null."""
+    return left.join(right, list(keys), "left")
+
+
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import money_sum, rate_pct, round_half_up
 from mercato.operators import (distinct_rows, global_rank, latest_per_key, ntile_from_rank,
-                               share_of_total, topk, topk_semi_join)
+                               share_of_total, topk, topk_semi_join, using_left)
 from mercato.operators.ranking import write_scratch_table
 from mercato.plans import analyses as A
 from mercato.plans.layers import Layers
@@ -75,13 +75,13 @@ def op_inner_join(p: Layers) -> DataFrame:
 
 
 def op_using_multi(p: Layers) -> DataFrame:
-    """Order and seller counts by category and month, joined on the three shared keys."""
+    """Order and seller counts by category and month; every month with orders stays, by the three shared keys."""
     keys = ["category", "purchase_year", "purchase_month"]
     lines = (p.int_order_items_enriched.select(F.col("product_category_name_en").alias("category"), "order_id", "seller_id")
              .join(_delivered(p).select("order_id", "purchase_year", "purchase_month"), "order_id"))
     orders = lines.select(*keys, "order_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("total_orders"))
     sellers = lines.select(*keys, "seller_id").distinct().groupBy(*keys).agg(F.count("seller_id").alias("active_sellers"))
-    return orders.join(sellers, keys)
+    return using_left(orders, sellers, keys)
 
 
 def _monthly(p: Layers) -> DataFrame:

@@ -110,16 +110,15 @@ def mart_seller_from_lines(lines: DataFrame) -> DataFrame:
         F.sum("item_price").alias("revenue"),
         F.sum("item_gross_value").alias("gross_value"),
     )
-    # products first, so that one distinct is left and no rows are doubled for a second; the checks see
-    # to it that a product has one category
+    # items collapse to (product, category) first; then one distinct an aggregate, so no rows are doubled
     by_product = lines.groupBy("seller_id", "product_id", "product_category_name_en").agg(
         F.sum("item_price").alias("price"),
         F.count("item_price").alias("priced"))
     catalog = by_product.groupBy("seller_id").agg(
-        F.count("product_id").alias("unique_products"),
         F.countDistinct("product_category_name_en").alias("unique_categories"),
         round_half_up(F.sum("price").cast("double") / F.nullif(F.sum("priced"), F.lit(0)), 2).alias("avg_item_price"),
     )
+    products = by_product.groupBy("seller_id").agg(F.countDistinct("product_id").alias("unique_products"))
     per_seller = sales.groupBy(*who).agg(
         F.count(F.lit(1)).alias("total_orders"),
         money_sum("revenue").alias("seller_revenue"),
@@ -134,7 +133,7 @@ def mart_seller_from_lines(lines: DataFrame) -> DataFrame:
         F.min(F.to_date("purchased_at")).alias("first_sale_date"),
         F.max(F.to_date("purchased_at")).alias("last_sale_date"),
     )
-    return per_seller.join(catalog, "seller_id", "left").select(
+    return per_seller.join(catalog, "seller_id", "left").join(products, "seller_id", "left").select(
         "seller_id", "seller_state", "seller_city", "total_orders", "unique_products",
         "unique_categories", "seller_revenue", "avg_item_price", "seller_gross_value",
         "avg_days_to_deliver", "avg_delay_days", "late_orders", "pct_late_orders",

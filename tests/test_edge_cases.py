@@ -132,3 +132,15 @@ def test_routes_without_a_centroid_are_counted_as_unknown(spark):
     rows = ext_route_distance(p.int_order_items_enriched, p.fct_orders, p.stg_geolocation).collect()
     assert [(r.distance_band, r.routes) for r in rows] == [("0-25km", 1), ("unknown", 1)]
     assert rows[1].avg_distance_km is None
+
+
+def test_product_under_two_categories_counts_once(spark):
+    """The seller mart counts products, not (product, category) pairs, also where no check ran before it."""
+    from mercato.plans.marts import mart_seller_from_lines
+    rows = [(1, 1, 50, 10, "SP", "X", "bed", 100), (1, 2, 50, 10, "SP", "X", "bath", 50), (2, 1, 51, 10, "SP", "X", "bed", 30)]
+    lines = spark.createDataFrame(rows, "order_id long, order_item_id long, product_id long, seller_id long, seller_state string, seller_city string, product_category_name_en string, p int")
+    lines = lines.select("*", F.col("p").cast("decimal(18,2)").alias("item_price"), F.col("p").cast("decimal(18,2)").alias("item_gross_value"),
+                         F.lit(5).alias("review_score"), F.lit(False).alias("is_late"), F.lit(3).alias("days_to_deliver"), F.lit(-1).alias("delivery_delay_days"),
+                         F.lit("2018-01-01").cast("timestamp_ntz").alias("purchased_at"))
+    got = mart_seller_from_lines(lines).first()
+    assert (got.unique_products, got.unique_categories, got.total_orders, got.avg_item_price) == (2, 2, 2, 60.0)

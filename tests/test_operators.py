@@ -101,3 +101,12 @@ def test_bucketize_keeps_nulls_apart_when_named(spark):
     label, rank, labels = bucketize("v", (5,), ["low", "high"], null_label="unknown")
     assert [tuple(r) for r in df.select(label, rank).collect()] == [("low", 1), ("high", 2), ("unknown", 3)]
     assert labels == ["low", "high", "unknown"]
+
+
+def test_using_left_keeps_keys_missing_on_the_right(spark):
+    from mercato.operators import using_left
+    left = spark.createDataFrame([("a", 2017, 1, 5), ("a", 2017, 2, 6), ("b", 2018, 1, 7)], "c string, y int, m int, orders int")
+    right = spark.createDataFrame([("a", 2017, 1, 3), ("b", 2017, 1, 9)], "c string, y int, m int, sellers int")
+    out = using_left(left, right, ["c", "y", "m"])
+    assert out.columns == ["c", "y", "m", "orders", "sellers"]
+    assert sorted(map(tuple, out.collect())) == [("a", 2017, 1, 5, 3), ("a", 2017, 2, 6, None), ("b", 2018, 1, 7, None)]
