@@ -5,6 +5,7 @@ Numeric conventions (applied identically in the SQL oracle):
 * money stays ``decimal(18,2)`` per row and is summed exactly into
   ``decimal(38,2)``; it is cast to double only before a division;
 * ratios and means are doubles; an average of money is ``sum / count``;
+* doubles are summed exactly (``exact_sum``), so no partitioning changes a bit of a sum or a mean;
 * rounding of doubles is half away from zero with a 1e-9 nudge so that values
   such as 1.005 round the same way in every engine.
 """
@@ -34,6 +35,32 @@ def money_sum(col) -> Column:
     return F.sum(_c(col)).cast(MONEY_SUM)
 
 
+#: Fixed-point parts of a double: whole, then twice so many bits of its fraction.
+FRACTION_BITS = 30
+
+
+def exact_sum(col) -> Column:
+    """Sum of doubles that doesn't depend on the order of the rows (null on no rows).
+
+    A value is cut into its whole part and two runs of 30 bits of its fraction (bits below 2^-60 are cut
+    off per value); each is summed as a long. Values of 2^40 and more, infinite ones and NaN are summed as
+    doubles beside. Longs bound a group to some 2^33 rows; beyond, the sum raises instead of wrapping.
+    """
+    x, unit = _c(col).cast("double"), float(1 << FRACTION_BITS)
+    fits = F.abs(x) < float(1 << 40)
+    small = F.when(fits, x)
+    upper = (small - F.floor(small)) * unit
+    lower = (upper - F.floor(upper)) * unit
+    whole, high, low = (F.sum(F.floor(part)).cast("double") for part in (small, upper, lower))
+    exact = whole + (high / unit + low / unit / unit)
+    large = F.sum(F.when(~fits, x))
+    return F.when(large.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + large)
+
+
+def exact_avg(col) -> Column:
+    return exact_sum(col) / F.nullif(F.count(_c(col)), F.lit(0))
+
+
 def avg_money(col) -> Column:
     """Exact decimal sum divided by the count, as a double (null on no rows)."""
     c = _c(col)
@@ -53,7 +80,7 @@ def rate_pct(pred, denominator=None, scale: int = 2) -> Column:
 
 def weighted_mean(x, w, scale: int, guard_zero: bool = False) -> Column:
     """``sum(x * w) / sum(w)``; rows with null x still count in the denominator."""
-    num = F.sum(_c(x) * _c(w))
+    num = exact_sum(_c(x) * _c(w))
     den = F.sum(_c(w))
     if guard_zero:
         den = F.nullif(den, F.lit(0))

@@ -3,9 +3,9 @@
 from mercato.operators.relational import (bucketize, distinct_rows,
                                           latest_per_key, share_of_total, topk,
                                           topk_semi_join, using_left)
-from mercato.operators.ranking import global_rank, ntile_from_rank
+from mercato.operators.ranking import global_rank, global_ranks, ntile_from_rank
 
 __all__ = [
     "bucketize", "distinct_rows", "latest_per_key", "share_of_total",
-    "topk", "topk_semi_join", "using_left", "global_rank", "ntile_from_rank",
+    "topk", "topk_semi_join", "using_left", "global_rank", "global_ranks", "ntile_from_rank",
 ]

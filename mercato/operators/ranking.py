@@ -13,7 +13,7 @@ values do not pile up in one range.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,6 +72,41 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], *, descending: bool =
     return out.drop(*[c for c in out.columns if c.startswith("_gr_")])
 
 
+def global_ranks(df: DataFrame, orders: Mapping[str, tuple[Sequence[str], bool]], key: Sequence[str], *,
+                 total_count_col: str | None = None) -> DataFrame:
+    """Add one 1-based rank per order, all from one range shuffle and one staged write.
+
+    ``orders`` maps a rank's name to (columns, descending); ``key`` names a row uniquely and ends every
+    order. Each row is dealt once an order, with that order's columns only (the row itself travels with
+    the first); the ranges of all orders are bounds of one sort, in which an order's columns are null for
+    the rows of the others. Ranks meet their rows again by ``key``.
+    """
+    fields = {c: df.schema[c].dataType.simpleString() for c in df.columns}
+    places = [(i, c) for i, (cols, _) in enumerate(orders.values()) for c in cols]
+
+    def copy(i: int) -> Column:
+        at = [(F.col(c) if j == i else F.lit(None).cast(fields[c])).alias(f"k{n}") for n, (j, c) in enumerate(places)]
+        row = F.struct(*df.columns)
+        return F.struct(F.lit(i).alias("o"), F.struct(*key).alias("id"), (row if i == 0 else F.when(F.lit(False), row)).alias("row"), *at)
+
+    dealt = df.select(F.inline(F.array(*[copy(i) for i in range(len(orders))])))
+    down = [d for _, d in orders.values()]
+    sort = [F.col("o")] + [F.col(f"k{n}").desc() if down[j] else F.col(f"k{n}").asc() for n, (j, _) in enumerate(places)]
+    staged = write_scratch_table(dealt.repartitionByRange(*sort).withColumn("range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("o").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged.groupBy("o", "range").count().select(
+        "o", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"),
+        F.sum("count").over(Window.partitionBy("o")).alias("total"))
+    # one row an order and partition of the ranges, whatever the data
+    local = staged.withColumn("local", F.row_number().over(Window.partitionBy("o", "range").orderBy(*sort)))
+    ranked = local.join(F.broadcast(offsets), ["o", "range"])
+    rank = F.col("before") + F.col("local")
+    back = ranked.groupBy("id").agg(F.any_value("row", ignoreNulls=True).alias("row"), F.max("total").alias("total"),
+                                    *[F.max(F.when(F.col("o") == i, rank)).cast("bigint").alias(f"r{i}") for i in range(len(orders))])
+    total = [F.col("total").cast("bigint").alias(total_count_col)] if total_count_col else []
+    return back.select("row.*", *[F.col(f"r{i}").alias(name) for i, name in enumerate(orders)], *total)
+
+
 def ntile_from_rank(rank: Column | str, total: Column | str, n: int) -> Column:
     """``ntile(n)`` from a 1-based rank and the row count (first buckets get the extra rows)."""
     r = F.col(rank) if isinstance(rank, str) else rank

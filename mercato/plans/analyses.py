@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import avg_money, rate_pct, round_half_up, weighted_mean
-from mercato.operators import (bucketize, global_rank, ntile_from_rank, share_of_total,
+from mercato.functions import avg_money, exact_avg, rate_pct, round_half_up, weighted_mean
+from mercato.operators import (bucketize, global_rank, global_ranks, ntile_from_rank, share_of_total,
                                topk, topk_semi_join)
 
 FREIGHT_EDGES = (5, 10, 15, 20, 30, 50)
@@ -45,7 +45,7 @@ def late_rate_by_category(items_enriched: DataFrame, orders_enriched: DataFrame,
         F.countDistinct("order_id").alias("total_orders"),
         F.count_if("is_late").alias("late_orders"),
         rate_pct("is_late", F.countDistinct("order_id")).alias("pct_late"),
-        round_half_up(F.avg("product_weight_g"), 0).alias("avg_weight_g"),
+        round_half_up(exact_avg("product_weight_g"), 0).alias("avg_weight_g"),
     )
     return topk(agg.where(F.col("total_orders") >= min_orders),
                 [F.col("pct_late").desc(), F.col("category").asc()], limit)
@@ -96,11 +96,10 @@ def category_quadrants(mart_category: DataFrame, min_orders: int = 100, n: int =
         round_half_up(F.sum("late_orders") * F.lit(100.0)
                       / F.nullif(F.sum("total_orders"), F.lit(0)), 2).alias("pct_late"),
     ).where(F.col("total_orders") >= min_orders)
-    ranked = global_rank(by_category, ["total_revenue", "category"], rank_col="__rr",
-                         total_count_col="__n")
-    ranked = ranked.withColumn("revenue_quartile", ntile_from_rank("__rr", "__n", n))
-    ranked = global_rank(ranked, ["weighted_review_score", "category"], rank_col="__vr")
-    ranked = ranked.withColumn("review_quartile", ntile_from_rank("__vr", "__n", n))
+    orders = {"__rr": (["total_revenue", "category"], False), "__vr": (["weighted_review_score", "category"], False)}
+    ranked = global_ranks(by_category, orders, ["category"], total_count_col="__n")
+    ranked = ranked.withColumns({"revenue_quartile": ntile_from_rank("__rr", "__n", n),
+                                 "review_quartile": ntile_from_rank("__vr", "__n", n)})
     rq, vq = F.col("revenue_quartile"), F.col("review_quartile")
     top_top, top_low, low_top, low_low, other = QUADRANT_LABELS
     label = (F.when((rq == n) & (vq == n), top_top)

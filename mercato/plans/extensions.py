@@ -8,11 +8,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import money_sum, rate_pct, round_half_up
+from mercato.functions import exact_avg, exact_sum, money_sum, rate_pct, round_half_up
 from mercato.operators import bucketize
+from mercato.operators.nearest import nearest_key
 from mercato.plans import analyses as A
 
 EARTH_RADIUS_KM = 6371.0
@@ -76,13 +77,32 @@ def haversine_km(lat1, lng1, lat2, lng2):
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(h))
 
 
+def zip_number(zip_code) -> Column:
+    """The number of an all-digit zip prefix, null for others."""
+    return F.when(zip_code.rlike("^[0-9]{1,9}$"), zip_code.cast("long"))
+
+
+def centroids_for(zips: DataFrame, geolocation: DataFrame) -> DataFrame:
+    """zip_code_prefix, lat and lng of ``zips`` (zip_code_prefix): the own centroid, else that of the nearest prefix in number."""
+    geo = geolocation.select("zip_code_prefix", "lat", "lng")
+    own = geo.join(zips, "zip_code_prefix", "left_semi")
+    numbered = geo.withColumn("number", zip_number(F.col("zip_code_prefix")))
+    # "01001" and "1001" are one number: one of them stands for it
+    known = numbered.groupBy("number").agg(F.min_by(F.struct("lat", "lng"), "zip_code_prefix").alias("at"))
+    missing = zips.join(geo, "zip_code_prefix", "left_anti")
+    near = nearest_key(missing, known, zip_number(F.col("zip_code_prefix")), F.col("number"))
+    return own.unionByName(near.select("zip_code_prefix", "found.at.lat", "found.at.lng"))
+
+
 def ext_route_distance(items_enriched: DataFrame, fct: DataFrame, geolocation: DataFrame,
                        edges_km: Sequence[float] = DISTANCE_EDGES_KM) -> DataFrame:
     """Late rate by seller-to-customer distance band (zip centroid to zip centroid).
 
-    Routes without a centroid at either end are counted in the band ``unknown``.
+    A zip without a centroid takes that of the nearest known prefix; routes with an end that has none near
+    are counted in the band ``unknown``.
     """
-    geo = geolocation.select("zip_code_prefix", "lat", "lng")
+    ends = items_enriched.select(F.col("seller_zip_code_prefix").alias("zip_code_prefix")).union(fct.select("customer_zip_code_prefix"))
+    geo = centroids_for(ends.filter("zip_code_prefix IS NOT NULL").distinct(), geolocation)
     s = geo.select(F.col("zip_code_prefix").alias("seller_zip_code_prefix"),
                    F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
     c = geo.select(F.col("zip_code_prefix").alias("customer_zip_code_prefix"),
@@ -100,7 +120,7 @@ def ext_route_distance(items_enriched: DataFrame, fct: DataFrame, geolocation: D
         F.count(F.lit(1)).alias("routes"),
         F.count_if("is_late").alias("late_routes"),
         rate_pct("is_late").alias("pct_late"),
-        round_half_up(F.avg("distance_km"), 1).alias("avg_distance_km"),
+        round_half_up(exact_avg("distance_km"), 1).alias("avg_distance_km"),
         round_half_up(F.avg("days_to_deliver"), 1).alias("avg_days_to_deliver"),
     ).orderBy("band_rank").drop("band_rank"))
 
@@ -112,8 +132,8 @@ def ext_lorenz_gini(mart_seller: DataFrame) -> DataFrame:
     x = F.col("seller_revenue").cast("double")
     agg = curve.agg(F.count(F.lit(1)).alias("sellers"),
                     money_sum("seller_revenue").alias("total_revenue"),
-                    F.sum(asc_rank * x).alias("_weighted"),
-                    F.sum(x).alias("_sum"))
+                    exact_sum(asc_rank * x).alias("_weighted"),
+                    exact_sum(x).alias("_sum"))
     n = F.col("sellers").cast("double")
     gini = F.lit(2.0) * F.col("_weighted") / (n * F.nullif(F.col("_sum"), F.lit(0.0))) - (n + 1) / n
     return agg.select("sellers", "total_revenue", round_half_up(gini, 4).alias("gini"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import (MONEY, day_diff, money_sum, round_half_up, safe_div)
+from mercato.functions import (MONEY, day_diff, exact_avg, exact_sum, money_sum, round_half_up, safe_div)
 
 
 def int_order_items_enriched(items: DataFrame, products: DataFrame,
@@ -43,10 +43,10 @@ def int_orders_aggregated(items_enriched: DataFrame) -> DataFrame:
         money_sum("item_gross_value").alias("order_gross_value"),
         round_half_up(safe_div(F.sum("item_freight_value"), F.sum("item_price")) * F.lit(100.0), 2)
         .alias("order_freight_ratio_pct"),
-        F.sum("product_weight_g").alias("order_total_weight_g"),
-        round_half_up(F.avg("product_photos_qty"), 1).alias("avg_photos_qty"),
-        round_half_up(F.avg("product_name_length"), 1).alias("avg_name_length"),
-        round_half_up(F.avg("product_description_length"), 1).alias("avg_description_length"),
+        exact_sum("product_weight_g").alias("order_total_weight_g"),
+        round_half_up(exact_avg("product_photos_qty"), 1).alias("avg_photos_qty"),
+        round_half_up(exact_avg("product_name_length"), 1).alias("avg_name_length"),
+        round_half_up(exact_avg("product_description_length"), 1).alias("avg_description_length"),
     )
 
 

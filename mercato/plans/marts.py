@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import avg_money, money_sum, rate_pct, round_half_up
+from mercato.functions import avg_money, exact_avg, money_sum, rate_pct, round_half_up
 
 FCT_ORDERS_COLUMNS = [
     "order_id", "customer_id", "customer_unique_id",
@@ -72,17 +72,17 @@ def mart_category_from_lines(lines: DataFrame) -> DataFrame:
         F.sum("item_price").alias("revenue"),
         F.sum("item_gross_value").alias("gross_value"),
         avg_money("item_price").alias("mean_price"),
-        F.avg("item_freight_ratio_pct").alias("mean_freight_ratio"),
-        F.avg("product_weight_g").alias("mean_weight"),
+        exact_avg("item_freight_ratio_pct").alias("mean_freight_ratio"),
+        exact_avg("product_weight_g").alias("mean_weight"),
     )
     sellers = j.groupBy(*keys).agg(F.countDistinct("seller_id").alias("active_sellers"))
     rolled = basket.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_orders"),
         money_sum("revenue").alias("category_revenue"),
-        round_half_up(F.avg("mean_price"), 2).alias("avg_item_price"),
+        round_half_up(exact_avg("mean_price"), 2).alias("avg_item_price"),
         money_sum("gross_value").alias("category_gross_value"),
-        round_half_up(F.avg("mean_freight_ratio"), 2).alias("avg_freight_ratio_pct"),
-        round_half_up(F.avg("mean_weight"), 1).alias("avg_product_weight_g"),
+        round_half_up(exact_avg("mean_freight_ratio"), 2).alias("avg_freight_ratio_pct"),
+        round_half_up(exact_avg("mean_weight"), 1).alias("avg_product_weight_g"),
         round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
         F.count_if(F.col("review_score") >= 4).alias("positive_reviews"),
         F.count_if(F.col("review_score") <= 2).alias("negative_reviews"),

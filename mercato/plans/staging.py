@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import (MONEY, norm_lower, norm_title, norm_upper, to_ts,
+from mercato.functions import (MONEY, exact_avg, norm_lower, norm_title, norm_upper, to_ts,
                                zip_text)
 from mercato.operators import latest_per_key
 
@@ -101,7 +101,7 @@ def stg_geolocation(raw: DataFrame) -> DataFrame:
         norm_upper("geolocation_state").alias("state"),
     )
     return norm.groupBy("zip_code_prefix").agg(
-        F.avg("lat").alias("lat"), F.avg("lng").alias("lng"),
+        exact_avg("lat").alias("lat"), exact_avg("lng").alias("lng"),
         F.min("city").alias("city"), F.min("state").alias("state"))
 
 

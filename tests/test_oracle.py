@@ -51,3 +51,9 @@ def test_query_matches_oracle(spark, con, key):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", sorted(ORACLE))
+def test_oracle_binds(con, key):
+    """Every SQL text is valid, told before the long comparisons."""
+    con.execute("EXPLAIN " + ORACLE[key])
