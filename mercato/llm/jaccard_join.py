@@ -12,11 +12,16 @@ Set relations save the rest of the work:
 * Index lists are sorted by size and position. Each set is first verified against the neighbour it has in
   most of its lists, which ties copies into components by one pair a set.
 * A set takes over the answers of a set it is linked with: what is in one component needs no further
-  pair. Lists are then read again for pairs across components; within a list, blocks of equal size are
-  skipped whole or from the position on at which the overlap can no longer suffice.
+  pair. Lists are read again for pairs across components only; within a list, sets are skipped by size
+  and from the position on at which the overlap can no longer suffice.
 * Before whole sets meet, their parity bitmaps do: differing bits bound the differing shingles from below.
+* The second reading proposes, of all pairs that could join two components, a forest: the most alike
+  first, none between components that it has joined already. Members of one group thus cost pairs in the
+  number of their components, not of its square. Only the third reading, when links found so far are
+  merged, verifies every pair that is left, so no link is lost.
 
-Every pair that could join two components is verified on whole sets, so no link is lost.
+Lists that share their smallest component are read by one task, which gets each set's bitmap once. What is
+more than ``GROUP_ROWS`` rows is dealt to several by token, and a longer list in pairs of blocks of sets.
 
 Defined cases: documents without words (or text) have an empty set and stand alone; fewer words than a
 shingle make one shingle; rows with equal ids and texts fall together; a group whose ids are all null
@@ -33,7 +38,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from mercato.llm.common import text_batches, written
 from mercato.llm.shared_hashes import ASKED, SAID, answer, answers, arrow_table, ask, codes, ddl
@@ -43,11 +47,16 @@ SHINGLE, PERCENT = 5, 80
 SKETCH_ROWS, SKETCH_CELLS, SLICES = 2, 1 << 18, 64
 REMEMBERED = 2_000_000
 BATCH_BYTES = 4 << 20
-PAIR_BATCH = 100_000
 #: Nodes are dealt into chunks of about so many prefix tokens.
 CHUNK_TOKENS = 1 << 19
-#: Bits of the filter for members whose whole sets are wanted (8 MB at any size), and its slices.
-FILTER_BITS, FILTER_SLICES = 1 << 26, 64
+#: Rows of lists that a task reads at once.
+GROUP_ROWS = 1 << 16
+#: Pairs that a task holds before it drops repeated and impossible ones.
+HELD_PAIRS = 1 << 21
+#: A forest takes pairs that seem to differ by up to so much of what a link may.
+SEEMS = 1.1
+#: The filter for members whose whole sets are wanted: bits a member, bits at least and at most (64 MB), and its slices.
+FILTER_SHARE, FILTER_LEAST, FILTER_MOST, FILTER_SLICES = 16, 1 << 20, 1 << 29, 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -219,15 +228,18 @@ def _lists(sets: DataFrame) -> DataFrame:
 
 
 def _members_filter(wanted: DataFrame) -> np.ndarray:
-    """One bit a hash of the wanted ids, in an array of fixed size. More ids only let more rows pass."""
-    width = FILTER_BITS // FILTER_SLICES
+    """One bit a hash of the wanted ids, in an array sized by their number. Other ids on a bit only let more rows pass."""
+    total, count = FILTER_LEAST, wanted.count()
+    while total < min(FILTER_MOST, FILTER_SHARE * count):
+        total *= 2
+    width = total // FILTER_SLICES
 
     def mark(pdf: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(width, np.uint8)
         bits[pdf["bit"].to_numpy()] = 1
         return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
 
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(total))
     marks = wanted.select(F.floor(at / width).cast("int").alias("slice"), (at % width).cast("int").alias("bit")).distinct()
     out = np.zeros((FILTER_SLICES, width // 8), np.uint8)
     for r in marks.groupBy("slice").applyInPandas(mark, "slice int, bits binary").collect():
@@ -237,7 +249,8 @@ def _members_filter(wanted: DataFrame) -> np.ndarray:
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """node and its set, for the nodes in ``wanted`` (doc_id of a member, node). Texts are read, not moved."""
-    bits = docs.sparkSession.sparkContext.broadcast(_members_filter(wanted))
+    filled = _members_filter(wanted)
+    bits = docs.sparkSession.sparkContext.broadcast(filled)
     schema = pa.schema([("member", pa.int64()), ("known", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -252,11 +265,26 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    marked = docs.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
+    marked = docs.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(8 * len(filled))))
     held = marked.mapInArrow(run, "member long, known long, hashes array<long>")
     return held.join(wanted, (F.col("known") == F.col("node")) & F.col("member").eqNullSafe(F.col("doc_id"))).select("node", "hashes")
 
 
+def _beside(percent: int):
+    """Neighbours in sorted lists whose sizes allow a link. Those that two tasks part are left to the later readings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            got = [np.asarray(batch.column(c)) for c in ("token", "n", "node")]
+            token, n, node = got if last is None else [np.r_[x, y] for x, y in zip(last, got, strict=True)]
+            last = [x[-1:] for x in (token, n, node)]
+            near = np.flatnonzero((token[1:] == token[:-1]) & (node[1:] != node[:-1]) & (100 * n[:-1] >= percent * n[1:]))
+            yield pa.RecordBatch.from_arrays([pa.array(node[1:][near]), pa.array(node[:-1][near])], names=["node", "prev"])
+
+    return run
+
+
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and parity bits allow the threshold."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
@@ -304,68 +332,116 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("node", F.col("label").alias("component"))
 
 
-def _across(percent: int):
-    """Pairs of a list's sets in different components that size, position and parity bits still allow."""
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs_of(n, pos, node, comp, parities):
-        starts = np.flatnonzero(np.r_[True, np.diff(n) != 0])  # blocks of equal size
-        ends = np.r_[starts[1:], len(n)]
-        words = np.array([len(p) for p in parities])
-        row = np.empty(len(n), np.int64)
-        bits = {}
-        for w in np.unique(words).tolist():
-            members = np.flatnonzero(words == w)
-            row[members] = np.arange(len(members))
-            bits[w] = np.stack([parities[k] for k in members]).view(np.uint64)
-        for i in range(1, len(n)):
-            for s, e in zip(starts, ends, strict=True):
-                if s >= i:
-                    break
-                if 100 * n[s] < percent * n[i]:
-                    continue
-                total = int(n[s] + n[i])
-                least = -(-percent * total // (100 + percent))
-                if n[i] - pos[i] < least:
-                    continue
-                upto = min(i, s + int(np.searchsorted(pos[s:e], n[s] - least, "right")))
-                other = np.flatnonzero(comp[s:upto] != comp[i]) + s
-                if not len(other):
-                    continue
-                alike = words[other] == words[i]
-                table = bits[words[i]]
-                differ = np.bitwise_count(table[row[other[alike]]] ^ table[row[i]]).sum(axis=1, dtype=np.int64)
-                for j in [*other[alike][differ <= total - 2 * least].tolist(), *other[~alike].tolist()]:
-                    yield (node[j], node[i]) if node[j] < node[i] else (node[i], node[j])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: set = set()
-
-        def of(group: pd.DataFrame):
-            cols = [group[c].to_numpy() for c in ("token", "n", "pos", "node", "component", "parity")]
-            cuts = [0, *(np.flatnonzero(np.diff(cols[0])) + 1).tolist(), len(group)]
-            for s, e in zip(cuts, cuts[1:], strict=False):
-                yield from pairs_of(*(c[s:e] for c in cols[1:]))
-
-        rest = None
-        for pdf in frames:
-            pdf = pdf if rest is None else pd.concat([rest, pdf])
-            tail = pdf["token"].to_numpy() == pdf["token"].iloc[-1]
-            rest, whole = pdf[tail], pdf[~tail]
-            for pair in of(whole):
-                found.add(pair)
-                if len(found) >= PAIR_BATCH:
-                    yield pd.DataFrame(list(found), columns=["a", "b"])
-                    found.clear()
-        if rest is not None:
-            for pair in of(rest):
-                found.add(pair)
-                if len(found) >= PAIR_BATCH:
-                    yield pd.DataFrame(list(found), columns=["a", "b"])
-                    found.clear()
-        if found:
-            yield pd.DataFrame(list(found), columns=["a", "b"])
 
-    return run
+class _Lists:
+    """Rows of several lists (token, n, pos, node, component, block), sorted, and the parity bits of their nodes."""
+
+    def __init__(self, rows: pa.Table, parities: pa.Table, percent: int):
+        token, n, pos, node, component, block = (np.asarray(rows[c]) for c in ("token", "n", "pos", "node", "component", "block"))
+        order = np.lexsort([node, pos, n, token])
+        self.token, self.n, self.pos, self.block, self.percent = token[order], n[order], pos[order], block[order], percent
+        self.nodes, first, self.at = np.unique(node[order], return_index=True, return_inverse=True)
+        self.size, self.component = self.n[first], component[order][first]
+        bits = dict(zip(parities["node_of"].to_pylist(), parities["parity"].combine_chunks(), strict=True))
+        self.bits = [np.asarray(bits[k].values).view(np.uint64) for k in self.nodes.tolist()]
+        self.words = np.array([len(b) for b in self.bits])
+
+    def _of_list(self, s: int, e: int, blocks: tuple[int, int]) -> Iterator[np.ndarray]:
+        """Codes of a list's pairs across components that sizes and positions allow."""
+        n, pos, at, block = self.n[s:e], self.pos[s:e], self.at[s:e], self.block[s:e]
+        comp = self.component[at]
+        for i in range(1, len(n)):
+            low = int(np.searchsorted(n[:i], -(-self.percent * n[i] // 100)))
+            least = -(-self.percent * (n[low:i] + n[i]) // (100 + self.percent))
+            fits = (comp[low:i] != comp[i]) & (n[i] - pos[i] >= least) & (n[low:i] - pos[low:i] >= least)
+            if blocks[0] != blocks[1]:
+                fits &= block[low:i] != block[i]
+            if fits.any():
+                x, y = at[low:i][fits], at[i]
+                yield np.minimum(x, y) * len(self.nodes) + np.maximum(x, y)
+
+    def _alike(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that parity bits allow, and how much they seem to differ, as a share of what a link may."""
+        i, j = codes // len(self.nodes), codes % len(self.nodes)
+        total, share = self.size[i] + self.size[j], np.zeros(len(codes))
+        most = total - 2 * -(-self.percent * total // (100 + self.percent))
+        keep = self.words[i] != self.words[j]
+        for w in np.unique(self.words[i[~keep]]).tolist():
+            own = np.flatnonzero((self.words[i] == w) & (self.words[j] == w))
+            for part in np.array_split(own, 1 + len(own) * w // (1 << 20)):
+                x, y = np.stack([self.bits[k] for k in i[part]]), np.stack([self.bits[k] for k in j[part]])
+                differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                # of d differing shingles on m places, about m/2 (1 - exp(-2d/m)) places differ
+                seems = -32 * w * np.log(np.maximum(1 - differ / (32 * w), 1e-9))
+                keep[part], share[part] = differ <= most[part], seems / np.maximum(most[part], 1)
+        return codes[keep], share[keep]
+
+    def pairs(self, blocks: tuple[int, int], forest: bool) -> pa.Table:
+        cuts = [0, *(np.flatnonzero(np.diff(self.token)) + 1).tolist(), len(self.token)]
+        kept, shares, held, count = np.empty(0, np.int64), np.empty(0), [], 0
+
+        def settle():
+            nonlocal kept, shares, held, count
+            if held:
+                fresh, share = self._alike(np.setdiff1d(np.concatenate(held), kept))
+                kept, shares, held, count = np.r_[kept, fresh], np.r_[shares, share], [], 0
+
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            for codes in self._of_list(s, e, blocks):
+                held.append(codes)
+                count += len(codes)
+                if count > HELD_PAIRS:
+                    settle()
+        settle()
+        if forest:
+            kept = self._forest(kept, shares)
+        return pa.table([self.nodes[kept // len(self.nodes)], self.nodes[kept % len(self.nodes)]], schema=_PAIR)
+
+    def _forest(self, codes: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """Of the pairs that seem to be links, a subset that joins all components they join, the most alike first."""
+        top = {c: c for c in np.unique(self.component).tolist()}
+
+        def root(c):
+            while top[c] != c:
+                top[c] = c = top[top[c]]
+            return c
+
+        out, likely = [], shares <= SEEMS
+        for code in codes[likely][np.lexsort([codes[likely], shares[likely]])].tolist():
+            x, y = (root(self.component[k].item()) for k in divmod(code, len(self.nodes)))
+            if x != y:
+                top[x] = y
+                out.append(code)
+        return np.array(out, np.int64)
+
+
+def _proposed(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs (a < b) of nodes of different components that may reach the threshold: all of them, or a forest a task."""
+    known = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).filter("low != high")
+    several = written(several.select("token", "low", "rows"), "several")
+    short, long = several.filter(F.col("rows") <= GROUP_ROWS), several.filter(F.col("rows") > GROUP_ROWS)
+    parts = short.groupBy("low").agg(F.ceil(F.sum("rows") / GROUP_ROWS).alias("parts"))
+    part = F.pmod(F.xxhash64("token"), F.col("parts")).cast("int")
+    short = short.join(parts, "low").select("token", F.col("low").alias("k"), part.alias("x"), F.lit(-1).alias("y"), F.lit(1).alias("blocks"))
+    long = long.select("token", F.col("token").alias("k"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks"))
+    rows = known.join(short.union(long), "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    columns = ["k", "x", "y", "token", "n", "pos", "node", "component", "block"]
+    # a set of a long list meets every block of it
+    met = rows.filter("y = 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
+    rows = written(rows.filter("y = -1").select(columns).union(met.select(columns)), "rest")
+    keys = ["k", "x", "y"]
+    parities = rows.select(*[F.col(k).alias(f"p{k}") for k in keys], "node").distinct().join(nodes.select("node", "parity"), "node")
+    parities = parities.toDF("node_of", "pk", "px", "py", "parity")
+
+    def run(key: tuple, rows: pa.Table, parities: pa.Table) -> pa.Table:
+        x, y = key[1].as_py(), key[2].as_py()
+        return _Lists(rows, parities, percent).pairs((x, y) if y >= 0 else (0, 0), forest)
+
+    return rows.groupBy(*keys).cogroup(parities.groupBy("pk", "px", "py")).applyInArrow(run, "a long, b long").distinct()
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -380,9 +456,8 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     lists = written(_lists(sets), "lists")
 
     # one pair a set: the neighbour that it has in most of its lists
-    at = Window.partitionBy("token").orderBy("n", "pos", "node")
-    beside = lists.select("node", F.lag("node").over(at).alias("prev"), "n", F.lag("n").over(at).alias("prev_n"))
-    beside = beside.filter((F.col("prev") != F.col("node")) & (F.col("prev_n") * 100 >= F.col("n") * percent))
+    places = ["token", "n", "pos", "node"]
+    beside = lists.select(places).repartitionByRange(*places).sortWithinPartitions(*places).mapInArrow(_beside(percent), "node long, prev long")
     often = beside.groupBy("node", "prev").agg(F.count("*").alias("times"))
     best = often.groupBy("node").agg(F.max_by("prev", F.struct("times", "prev")).alias("prev"))
     first = best.select(F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")).distinct()
@@ -391,17 +466,16 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = written(_verified(first, whole, percent), "links")
     labels = components(links)
 
-    known = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    rest = known.join(several.select("token"), "token").join(nodes.select("node", "parity"), "node")
-    rest = rest.select("token", "n", "pos", "node", "component", "parity")
-    rest = rest.repartition("token").sortWithinPartitions("token", "n", "pos", "node").mapInPandas(_across(percent), "a long, b long")
-    rest = written(rest.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        missing = written(_members_of(rest, members).join(whole.select("node").distinct(), "node", "left_anti"), "missing")
+    tested = first
+    for forest in (True, False):
+        more = written(_proposed(lists, labels, nodes, percent, forest).join(tested, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            continue
+        missing = written(_members_of(more, members).join(whole.select("node").distinct(), "node", "left_anti"), "missing")
         if not missing.isEmpty():
             whole = whole.union(written(_whole_sets(docs, missing, size), "whole"))
-        labels = components(links.union(_verified(rest, whole, percent)))
+        links = links.union(written(_verified(more, whole, percent), "links"))
+        labels, tested = components(links), tested.union(more)
 
     placed = sets.select("doc_id", "n", "node").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
