@@ -15,10 +15,11 @@ Set relations save the rest of the work:
   pair. Lists are read again for pairs across components only; within a list, sets are skipped by size
   and from the position on at which the overlap can no longer suffice.
 * Before whole sets meet, their parity bitmaps do: differing bits bound the differing shingles from below.
-* The second reading proposes, of all pairs that could join two components, a forest: the most alike
-  first, none between components that it has joined already. Members of one group thus cost pairs in the
-  number of their components, not of its square. Only the third reading, when links found so far are
-  merged, verifies every pair that is left, so no link is lost.
+* Of all pairs that could join two components a forest is verified first: the most alike, none between
+  components that it has joined already. Members of one group thus cost pairs in the number of their
+  components, not of its square. Then every pair is verified that is still between components, so no link
+  is lost. Where a task finds more than ``FEW`` pairs a set, it gives the forest only, and its lists are
+  read again once those links are merged.
 
 Lists that share their smallest component are read by one task, which gets each set's bitmap once. What is
 more than ``GROUP_ROWS`` rows is dealt to several by token, and a longer list in pairs of blocks of sets.
@@ -55,6 +56,10 @@ GROUP_ROWS = 1 << 16
 HELD_PAIRS = 1 << 21
 #: A forest takes pairs that seem to differ by up to so much of what a link may.
 SEEMS = 1.1
+#: A task that finds more than so many pairs a set reads its lists again after a forest of them.
+FEW = 4
+#: Lists of up to so many sets are compared all at once.
+SHORT_LIST = 32
 #: The filter for members whose whole sets are wanted: bits a member, bits at least and at most (64 MB), and its slices.
 FILTER_SHARE, FILTER_LEAST, FILTER_MOST, FILTER_SLICES = 16, 1 << 20, 1 << 29, 64
 
@@ -79,8 +84,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: bytes, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text; A-Z count as a-z."""
+def shingles(text: bytes, size: int) -> np.ndarray:
+    """64-bit hashes of the shingles of a text, in order; A-Z count as a-z."""
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
@@ -90,13 +95,18 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     out = h[:n].copy()
     for k in range(1, width):
         out = out * _STEP + h[k : k + n]
-    return np.unique(mixed(out + np.uint64(width)))
+    return mixed(out + np.uint64(width))
+
+
+def shingle_set(text: bytes, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text."""
+    return np.unique(shingles(text, size))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
+def _sets(batches: Iterator[pa.RecordBatch], size: int, made=shingle_set) -> Iterator[tuple]:
     for batch in text_batches(batches, 1, BATCH_BYTES):
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            yield doc_id, shingle_set(text.encode() if text else b"", size)
+            yield doc_id, made(text.encode() if text else b"", size)
 
 
 def _cells(hashes: np.ndarray, row: int) -> np.ndarray:
@@ -104,7 +114,7 @@ def _cells(hashes: np.ndarray, row: int) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, size: int) -> np.ndarray:
-    """How often the shingles of a cell occur: an array of fixed size, summed over all documents."""
+    """How often the shingles of a cell occur, repeats counted: an array of fixed size, summed over all documents."""
     schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 
     def count(batches):
@@ -115,7 +125,7 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
             for r in range(SKETCH_ROWS):
                 total[r] += np.bincount(_cells(every, r), minlength=SKETCH_CELLS).astype(np.uint32)
 
-        for _, hashes in _sets(batches, size):
+        for _, hashes in _sets(batches, size, shingles):
             held.append(hashes)
             n += len(hashes)
             if n > 1 << 20:
@@ -332,9 +342,6 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("node", F.col("label").alias("component"))
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
 class _Lists:
     """Rows of several lists (token, n, pos, node, component, block), sorted, and the parity bits of their nodes."""
 
@@ -348,19 +355,39 @@ class _Lists:
         self.bits = [np.asarray(bits[k].values).view(np.uint64) for k in self.nodes.tolist()]
         self.words = np.array([len(b) for b in self.bits])
 
-    def _of_list(self, s: int, e: int, blocks: tuple[int, int]) -> Iterator[np.ndarray]:
-        """Codes of a list's pairs across components that sizes and positions allow."""
-        n, pos, at, block = self.n[s:e], self.pos[s:e], self.at[s:e], self.block[s:e]
-        comp = self.component[at]
-        for i in range(1, len(n)):
-            low = int(np.searchsorted(n[:i], -(-self.percent * n[i] // 100)))
-            least = -(-self.percent * (n[low:i] + n[i]) // (100 + self.percent))
-            fits = (comp[low:i] != comp[i]) & (n[i] - pos[i] >= least) & (n[low:i] - pos[low:i] >= least)
-            if blocks[0] != blocks[1]:
-                fits &= block[low:i] != block[i]
-            if fits.any():
-                x, y = at[low:i][fits], at[i]
-                yield np.minimum(x, y) * len(self.nodes) + np.maximum(x, y)
+    def _fits(self, i: np.ndarray, j: np.ndarray, across: bool) -> np.ndarray:
+        """Which places i and j of a list (j before i, so no larger) hold a pair that sizes and positions allow."""
+        least = -(-self.percent * (self.n[i] + self.n[j]) // (100 + self.percent))
+        fits = (self.component[self.at[i]] != self.component[self.at[j]]) & (self.n[i] - self.pos[i] >= least) & (self.n[j] - self.pos[j] >= least)
+        return fits & (self.block[i] != self.block[j]) if across else fits
+
+    def _codes(self, across: bool) -> Iterator[np.ndarray]:
+        """Codes of the lists' pairs across components that sizes and positions allow."""
+
+        def code(i, j):
+            x, y = self.at[i], self.at[j]
+            return np.minimum(x, y) * len(self.nodes) + np.maximum(x, y)
+
+        starts = np.flatnonzero(np.r_[True, np.diff(self.token) != 0])
+        lengths = np.diff(np.r_[starts, len(self.token)])
+        place = np.arange(len(self.token)) - np.repeat(starts, lengths)
+        short = np.repeat(lengths <= SHORT_LIST, lengths)
+        i = np.flatnonzero(short)
+        for back in range(1, SHORT_LIST):
+            i = i[place[i] >= back]
+            if not len(i):
+                break
+            fits = self._fits(i, i - back, across)
+            yield code(i[fits], i[fits] - back)
+        for s, length in zip(starts[lengths > SHORT_LIST].tolist(), lengths[lengths > SHORT_LIST].tolist(), strict=True):
+            n = self.n[s : s + length]
+            lows = np.searchsorted(n, -(-self.percent * n // 100)).tolist()
+            for i in range(1, length):
+                if lows[i] < i:
+                    j = np.arange(s + lows[i], s + i)
+                    j = j[self._fits(np.full(len(j), s + i), j, across)]
+                    if len(j):
+                        yield code(np.full(len(j), s + i), j)
 
     def _alike(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs that parity bits allow, and how much they seem to differ, as a share of what a link may."""
@@ -378,8 +405,8 @@ class _Lists:
                 keep[part], share[part] = differ <= most[part], seems / np.maximum(most[part], 1)
         return codes[keep], share[keep]
 
-    def pairs(self, blocks: tuple[int, int], forest: bool) -> pa.Table:
-        cuts = [0, *(np.flatnonzero(np.diff(self.token)) + 1).tolist(), len(self.token)]
+    def pairs(self, across: bool, few: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Nodes (a < b) of the pairs, which of them form the forest, and whether others are left out."""
         kept, shares, held, count = np.empty(0, np.int64), np.empty(0), [], 0
 
         def settle():
@@ -388,16 +415,17 @@ class _Lists:
                 fresh, share = self._alike(np.setdiff1d(np.concatenate(held), kept))
                 kept, shares, held, count = np.r_[kept, fresh], np.r_[shares, share], [], 0
 
-        for s, e in zip(cuts, cuts[1:], strict=False):
-            for codes in self._of_list(s, e, blocks):
-                held.append(codes)
-                count += len(codes)
-                if count > HELD_PAIRS:
-                    settle()
+        for codes in self._codes(across):
+            held.append(codes)
+            count += len(codes)
+            if count > HELD_PAIRS:
+                settle()
         settle()
-        if forest:
-            kept = self._forest(kept, shares)
-        return pa.table([self.nodes[kept // len(self.nodes)], self.nodes[kept % len(self.nodes)]], schema=_PAIR)
+        forest = np.isin(kept, self._forest(kept, shares))
+        left_out = few is not None and len(kept) > few * len(self.nodes)
+        if left_out:
+            kept, forest = kept[forest], forest[forest]
+        return np.stack([self.nodes[kept // len(self.nodes)], self.nodes[kept % len(self.nodes)]]), forest, left_out
 
     def _forest(self, codes: np.ndarray, shares: np.ndarray) -> np.ndarray:
         """Of the pairs that seem to be links, a subset that joins all components they join, the most alike first."""
@@ -417,31 +445,52 @@ class _Lists:
         return np.array(out, np.int64)
 
 
-def _proposed(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs (a < b) of nodes of different components that may reach the threshold: all of them, or a forest a task."""
+_FOUND = "k long, x int, y int, a long, b long, forest boolean"
+
+
+def _dealt(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists that several components share, dealt to tasks (k, x, y)."""
     known = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).filter("low != high")
     several = written(several.select("token", "low", "rows"), "several")
     short, long = several.filter(F.col("rows") <= GROUP_ROWS), several.filter(F.col("rows") > GROUP_ROWS)
-    parts = short.groupBy("low").agg(F.ceil(F.sum("rows") / GROUP_ROWS).alias("parts"))
+    parts = written(short.groupBy("low").agg(F.ceil(F.sum("rows") / GROUP_ROWS).alias("parts"), F.sum("rows").alias("all")), "parts")
+    # families that one task can take share a task by hash, in bundles of about GROUP_ROWS
+    bundles = -(-(parts.filter("parts = 1").agg(F.sum("all").alias("n")).first()["n"] or 1) // GROUP_ROWS)
+    family = F.when(F.col("parts") > 1, F.col("low")).otherwise(F.pmod(F.xxhash64("low"), F.lit(bundles)))
     part = F.pmod(F.xxhash64("token"), F.col("parts")).cast("int")
-    short = short.join(parts, "low").select("token", F.col("low").alias("k"), part.alias("x"), F.lit(-1).alias("y"), F.lit(1).alias("blocks"))
+    short = short.join(parts, "low").select("token", family.alias("k"), part.alias("x"), F.lit(-1).alias("y"), F.lit(1).alias("blocks"))
     long = long.select("token", F.col("token").alias("k"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks"))
     rows = known.join(short.union(long), "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     columns = ["k", "x", "y", "token", "n", "pos", "node", "component", "block"]
     # a set of a long list meets every block of it
     met = rows.filter("y = 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-    rows = written(rows.filter("y = -1").select(columns).union(met.select(columns)), "rest")
-    keys = ["k", "x", "y"]
-    parities = rows.select(*[F.col(k).alias(f"p{k}") for k in keys], "node").distinct().join(nodes.select("node", "parity"), "node")
+    return written(rows.filter("y = -1").select(columns).union(met.select(columns)), "rest")
+
+
+def _found(rows: DataFrame, nodes: DataFrame, percent: int, few: int | None) -> DataFrame:
+    """Pairs (a < b) that each task's lists allow, its forest marked; a null pair where it gave the forest only."""
+    parities = rows.select(F.col("k").alias("pk"), F.col("x").alias("px"), F.col("y").alias("py"), "node").distinct().join(nodes.select("node", "parity"), "node")
     parities = parities.toDF("node_of", "pk", "px", "py", "parity")
+    kinds = {"k": pa.int64(), "x": pa.int32(), "y": pa.int32(), "a": pa.int64(), "b": pa.int64(), "forest": pa.bool_()}
 
     def run(key: tuple, rows: pa.Table, parities: pa.Table) -> pa.Table:
-        x, y = key[1].as_py(), key[2].as_py()
-        return _Lists(rows, parities, percent).pairs((x, y) if y >= 0 else (0, 0), forest)
+        k, x, y = (v.as_py() for v in key)
+        ends, forest, left_out = _Lists(rows, parities, percent).pairs(y > x, few)
+        columns = [[k] * len(forest), [x] * len(forest), [y] * len(forest), ends[0], ends[1], forest]
+        if left_out:
+            columns = [[*c, v] for c, v in zip(columns, (k, x, y, None, None, False), strict=True)]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    return written(rows.groupBy("k", "x", "y").cogroup(parities.groupBy("pk", "px", "py")).applyInArrow(run, _FOUND), "found")
 
-    return rows.groupBy(*keys).cogroup(parities.groupBy("pk", "px", "py")).applyInArrow(run, "a long, b long").distinct()
+
+def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are in different components."""
+    side = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -467,16 +516,28 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = components(links)
 
     tested = first
-    for forest in (True, False):
-        more = written(_proposed(lists, labels, nodes, percent, forest).join(tested, ["a", "b"], "left_anti"), "pairs")
+
+    def merge(pairs: DataFrame) -> None:
+        """Verify pairs that weren't, and merge the components of those that link."""
+        nonlocal whole, links, labels, tested
+        more = written(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if more.isEmpty():
-            continue
+            return
         missing = written(_members_of(more, members).join(whole.select("node").distinct(), "node", "left_anti"), "missing")
         if not missing.isEmpty():
             whole = whole.union(written(_whole_sets(docs, missing, size), "whole"))
         links = links.union(written(_verified(more, whole, percent), "links"))
         labels, tested = components(links), tested.union(more)
 
+    rest = _dealt(lists, labels)
+    found = _found(rest, nodes, percent, FEW)
+    merge(found.filter("forest").select("a", "b"))
+    merge(_between(found.filter("a IS NOT NULL AND NOT forest").select("a", "b"), labels))
+    again = found.filter("a IS NULL").select("k", "x", "y")
+    if not again.isEmpty():
+        rest = rest.join(again, ["k", "x", "y"], "left_semi").drop("component").join(labels, "node", "left")
+        merge(_found(rest.withColumn("component", F.coalesce("component", "node")), nodes, percent, None).select("a", "b"))
+
     placed = sets.select("doc_id", "n", "node").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
