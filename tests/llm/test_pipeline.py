@@ -73,8 +73,23 @@ def test_odd_rows_and_empty_table(spark, k):
     df = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long").withColumn("Kept", F.lit("mine")).withColumn("tokens", F.col("doc_id"))
     stage = P.STAGES[k][1]
     got = stage(spark, df, SF)
-    assert got.count() >= 0
+    kept = sorted((r.doc_id for r in got.collect()), key=lambda i: (i is not None, i))
+    every = [None, 1, 2, 2, 3, 4, 5, 5]
+    if k == 4:  # every token of every row is packed
+        check(got.collect(), [(r[0], ids) for r, ids in zip(odd, expected([r[1] for r in odd]), strict=True)])
+    else:  # rules: short texts and those of one word go; copies: of two equal rows one stays, empty ones all; masks: every row; the draw: some
+        assert kept == {0: [], 1: [None, 1, 2, 2, 3, 4, 5], 2: every}.get(k, kept) and not set(kept) - set(every)
     if k < 4:
         assert got.columns == df.columns
         assert all(r.Kept == "mine" and r.tokens == r.doc_id for r in got.collect())
     assert stage(spark, df.limit(0), SF).count() == 0
+
+
+def test_near_copies_tells_rows_apart(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    other, third = text.replace("w1", "v1"), " ".join(f"z{i}" for i in range(60))
+    rows = [(1, text), (1, text), (None, third), (None, third), (5, other), (6, other + " end"), (5, "a clean text of its own under the id of a copy"),
+            (7, ""), (7, ""), (8, None), (9, text + " x"), (None, text)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in P.near_copies(spark, df.repartition(3), SF).collect()), key=str)
+    assert got == sorted([(1, text), (None, third), (5, other), (5, rows[6][1]), (7, ""), (7, ""), (8, None)], key=str)
