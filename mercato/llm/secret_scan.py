@@ -36,6 +36,8 @@ WEAK = (
     r"""|https?://[^\x20\x09-\x0D"'<>]+"""
 )
 SCOPE = 256
+#: Code points of a block in which a redaction looks up its gaps.
+BLOCK = 1024
 #: Kinds in order, and the role each plays in a credential.
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "id": "id", "key": "secret", "endpoint": "endpoint"}
@@ -44,6 +46,34 @@ SURE = 3
 _SPAN = "array<struct<start:int,kind:int,upto:int>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it inside another lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(values: Column, fold) -> Column:
+    """For every place of an array of non-negative ints, ``fold`` (an associative one, 0 at the start) of those before it.
+
+    Runs of about the cube root of n values are folded first, then the runs before a run, so the
+    whole takes n ** (4/3) steps and appends to no array.
+    """
+    each = lambda part: F.aggregate(part, F.lit(0), fold)
+
+    def folded(v):
+        width = F.ceil(F.cbrt(F.size(v))).cast("int")
+        runs = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / width).cast("int"))
+        sums = lambda w: F.transform(runs, lambda r: each(F.slice(v, r * w + 1, w)))
+        tops = lambda t: F.transform(t, lambda _, k: each(F.slice(t, F.lit(1), k)))
+        place = lambda w, top: F.transform(v, lambda _, k: fold(F.get(top, F.floor(k / w).cast("int")), each(F.slice(v, k - k % w + 1, k % w))))
+        return F.when(F.size(v) > 0, _bound(width, lambda w: _bound(_bound(sums(w), tops), lambda top: place(w, top)))).otherwise(v)
+
+    return _bound(values, folded)
+
+
+def _later(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def _matches(text: Column, pattern: str, groups: int = 0) -> Column:
     """start, upto (code points) and the captured groups of all leftmost non-overlapping matches.
 
@@ -54,16 +84,32 @@ def _matches(text: Column, pattern: str, groups: int = 0) -> Column:
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found[0]))
     pieces = F.arrays_zip(gaps.alias("gap"), *[f.alias(f"g{k}") for k, f in enumerate(found)])
     shape = "".join(f",g{k}:string" for k in range(1, groups + 1))
-    empty = F.expr("0").alias("at"), F.array().cast(f"array<struct<start:int,upto:int{shape}>>").alias("out")
 
-    def step(a, m):
-        start = a["at"] + F.length(m["gap"])
-        upto = start + F.length(m["g0"])
-        one = F.struct(start.alias("start"), upto.alias("upto"), *[m[f"g{k}"].alias(f"g{k}") for k in range(1, groups + 1)])
-        return F.struct(upto.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+    def place(m, at):
+        start = at + F.length(m["gap"])
+        return F.struct(start.alias("start"), (start + F.length(m["g0"])).alias("upto"), *[m[f"g{k}"].alias(f"g{k}") for k in range(1, groups + 1)])
 
-    placed = F.aggregate(pieces, F.struct(*empty), step, lambda a: a["out"])
-    return F.when(F.regexp_like(text, p), placed).otherwise(F.array().cast(f"array<struct<start:int,upto:int{shape}>>"))
+    def placed(ms):
+        lengths = F.transform(ms, lambda m: F.length(m["gap"]) + F.length(m["g0"]))
+        return _bound(_before(lengths, lambda a, n: a + n), lambda at: F.transform(ms, lambda m, k: place(m, F.get(at, k))))
+
+    return F.when(F.regexp_like(text, p), _bound(pieces, placed)).otherwise(F.array().cast(f"array<struct<start:int,upto:int{shape}>>"))
+
+
+def _apart(weak: Column, sure: Column) -> Column:
+    """The spans of ``weak`` that overlap none of ``sure``.
+
+    Sure spans stand at their starts and weak ones at their ends, weak first at one place: a weak
+    span is free if no sure one before it reaches beyond its start.
+    """
+    stand = lambda at, what, reach, s: F.struct(at.alias("at"), F.lit(what).alias("what"), reach.alias("reach"), s.alias("span"))
+    events = F.array_sort(F.concat(F.transform(sure, lambda s: stand(s["start"], 1, s["upto"], s)), F.transform(weak, lambda s: stand(s["upto"], 0, F.lit(0), s))))
+
+    def free(es):
+        reach = _before(F.transform(es, lambda e: e["reach"]), _later)
+        return _bound(reach, lambda r: F.filter(es, lambda e, k: (e["what"] == 0) & (F.get(r, k) <= e["span"]["start"])))
+
+    return F.transform(_bound(events, free), lambda e: e["span"])
 
 
 def _spans(matches: Column, keep, kind) -> Column:
@@ -104,8 +150,7 @@ def secret_scan(df: DataFrame, text: str = "text", drop_text: bool = False) -> D
     out = out.withColumns({"base_spans": sure, weak: maybe}).drop(body, ma, mk, mh, mw)
     if drop_text:
         out = out.drop(text)
-    apart = F.filter(F.col(weak), lambda w: ~F.exists(F.col("base_spans"), lambda b: (b["start"] < w["upto"]) & (w["start"] < b["upto"])))
-    out = written(out.withColumn(weak, F.when(F.size(weak) > 0, apart).otherwise(F.col(weak))), "secrets")
+    out = written(out.withColumn(weak, F.when((F.size(weak) > 0) & (F.size("base_spans") > 0), _apart(F.col(weak), F.col("base_spans"))).otherwise(F.col(weak))), "secrets")
 
     added, same = private(df, "_added", "_same")
     linked = _linked(out.select(F.col(key).alias("key"), F.col("base_spans").alias("sure"), F.col(weak).alias("weak")))
@@ -134,13 +179,29 @@ def _linked(texts: DataFrame) -> DataFrame:
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "spans", mask: str = "<SECRET>") -> DataFrame:
-    """``df`` with every maximal covered run of ``text`` replaced by ``mask``; null text stays null."""
-    (runs,) = private(df, "_runs")
-    inside = lambda s, k: F.exists(F.slice(spans, 1, k), lambda b: b["upto"] >= s["upto"])
-    out = df.withColumn(runs, F.filter(spans, lambda s, k: ~inside(s, k)))  # what lies inside an earlier span goes
-    t, r = F.col(text), F.col(runs)
-    before = lambda k: F.when(k > 0, F.get(r, k - 1)["upto"]).otherwise(0)
-    gap = lambda s, k: F.substring(t, before(k) + 1, F.greatest(s["start"] - before(k), F.lit(0)))
-    lead = F.transform(r, lambda s, k: F.concat(gap(s, k), F.when((k == 0) | (s["start"] > before(k)), F.lit(mask)).otherwise(F.lit(""))))
-    tail = F.substring(t, F.element_at(r, -1)["upto"] + 1, F.length(t))
-    return out.withColumn(text, F.when(F.size(r) > 0, F.concat(F.array_join(lead, ""), tail)).otherwise(t)).drop(runs)
+    """``df`` with every maximal covered run of ``text`` replaced by ``mask``; null text stays null.
+
+    ``spans`` ascend by start. The text is cut into blocks of ``BLOCK`` code points once, so a gap costs
+    its own length and no walk from the start of the text.
+    """
+    t = F.col(text)
+
+    def piece(blocks, low, high):
+        first = F.floor(low / BLOCK).cast("int")
+        some = F.slice(blocks, first + 1, F.floor((high - 1) / BLOCK).cast("int") - first + 1)
+        return F.when(high > low, F.substring(F.array_join(some, ""), low - first * BLOCK + 1, high - low)).otherwise(F.lit(""))
+
+    def lead(blocks, reach, s, k):
+        done = F.get(reach, k)  # how far the spans before this one reach
+        masked = F.concat(piece(blocks, done, s["start"]), F.when((k == 0) | (s["start"] > done), F.lit(mask)).otherwise(F.lit("")))
+        return F.when(s["upto"] > done, masked).otherwise(F.lit(""))
+
+    def masked(blocks, of):
+        reach = _before(F.transform(of, lambda s: s["upto"]), _later)
+        leads = _bound(reach, lambda r: F.array_join(F.transform(of, lambda s, k: lead(blocks, r, s, k)), ""))
+        last = F.array_max(F.transform(of, lambda s: s["upto"]))
+        return F.concat(leads, piece(blocks, last, F.length(t)))
+
+    blocks = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    whole = _bound(F.col(spans), lambda of: _bound(blocks, lambda b: masked(b, of)))
+    return df.withColumn(text, F.when(t.isNotNull() & (F.size(spans) > 0), whole).otherwise(t))
