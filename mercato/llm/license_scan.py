@@ -18,9 +18,9 @@ result each; other columns are carried; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -148,6 +148,17 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _disjoint(hits: Iterable[tuple]) -> list[tuple]:
+    """The hits (first, last word, ...) that meet none taken before them, by first word."""
+    firsts, taken = [], []
+    for hit in hits:
+        at = bisect_right(firsts, hit[1])  # taken ones are disjoint: only the last that starts by here can meet it
+        if not at or taken[at - 1][1] < hit[0]:
+            firsts.insert(at, hit[0])
+            taken.insert(at, hit)
+    return taken
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE, required: dict[str, tuple[str, ...]] = REQUIRED):
         self.templates = []
@@ -172,10 +183,7 @@ class Scanner:
             if spans is None:
                 spans, counts = [m.span() for m in _WORD.finditer(text)], Counter(words)
             found += [(-n, -n / len(t), i, name, j) for i, j, n in self._places(t, need, phrases, words, counts)]
-        taken = []
-        for _, share, i, name, j in sorted(found):
-            if all(j < a or i > b for a, b, _, _ in taken):
-                taken.append((i, j, name, -share))
+        taken = _disjoint((i, j, name, -share) for _, share, i, name, j in sorted(found))
         return sorted((spans[i][0], name, spans[j][1], share) for i, j, name, share in taken)
 
     def _places(self, t, need, phrases, words, counts):
@@ -193,11 +201,7 @@ class Scanner:
                     best.append((-len(pairs), low + pairs[0][1], low + pairs[-1][1]))
                 if len(pairs) == len(t):
                     break
-        taken = []
-        for n, i, j in sorted(best):
-            if all(j < a or i > b for a, b, _ in taken):
-                taken.append((i, j, -n))
-        return taken
+        return _disjoint((i, j, -n) for n, i, j in sorted(best))
 
 
 def license_scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "text", coverage: float = COVERAGE, drop_text: bool = False) -> DataFrame:

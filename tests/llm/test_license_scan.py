@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from mercato.llm.license_scan import TEMPLATES, Scanner, license_scan, patience
+from mercato.llm.license_scan import TEMPLATES, Scanner, _disjoint, license_scan, patience
 from mercato.llm.queries import op4_license_scan
 
 
@@ -54,6 +54,22 @@ def test_defined_cases(spark):
     assert license_scan(df.limit(0)).count() == 0
 
 
+def test_disjoint_hits_match_the_definition():
+    rng = random.Random(3)
+    for _ in range(200):
+        hits = [(a := rng.randrange(60), a + rng.randrange(8), k) for k in range(40)]
+        want = []
+        for hit in hits:
+            if all(hit[1] < a or hit[0] > b for a, b, _ in want):
+                want.append(hit)
+        assert _disjoint(hits) == sorted(want)
+
+
+def test_many_licenses_in_one_text():
+    line = "Released under the MIT License. "
+    assert len(Scanner(TEMPLATES).scan(line * 20000)) == 20000
+
+
 def names(text):
     return [h[1] for h in Scanner(TEMPLATES).scan(text)]
 
