@@ -20,17 +20,16 @@ def _col(c) -> Column:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order_cols`` (nulls lowest).
 
-    Same result as ``row_number() over (partition by keys order by order_cols
-    desc nulls last) = 1`` but planned as a max-of-struct aggregate: partial
-    aggregation collapses every key on the map side, so a key with millions of
-    rows never lands whole in one task. Remaining columns break exact ties.
+    Remaining columns break exact ties, largest first. Spark limits every key to
+    its first row before the shuffle (a window group limit), so a key with
+    millions of rows sends one row a task, and wide columns such as comments
+    travel for those rows only; no aggregate buffer holds them.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    packed = F.struct(*[F.col(c) for c in list(order_cols) + rest]).alias("__best")
-    best = df.groupBy(*keys).agg(F.max(packed).alias("__best"))
-    return best.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in df.columns if c not in keys]) \
-        .select(*df.columns)
+    order = [F.col(c).desc_nulls_last() for c in [*order_cols, *rest]]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("__place", place).where("__place = 1").drop("__place")
 
 
 def using_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

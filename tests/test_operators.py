@@ -26,6 +26,23 @@ def test_latest_per_key_equals_row_number_window(spark):
     assert got == expected
 
 
+def test_latest_per_key_limits_hot_keys_before_the_shuffle(spark):
+    df = spark.range(30000, numPartitions=6).selectExpr(
+        "if(id % 3 = 0, 0, id) AS k", "if(id % 7 = 0, null, id % 50) AS ts", "id % 11 AS id", "repeat('c', 50) AS payload")
+    latest = latest_per_key(df, ["k"], ["ts", "id"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert "WindowGroupLimit" in plan[plan.index("Exchange"):]  # below the exchange: on the map side
+    expected = df.groupBy("k").agg(F.max(F.struct("ts", "id", "payload")).alias("m")).select("k", "m.*")
+    assert latest.count() == 20001 and latest.exceptAll(expected).isEmpty()
+
+
+def test_latest_per_key_null_keys_and_empty_tables(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (1, None, "c"), (1, None, "d")], "k int, ts int, p string")
+    assert {tuple(r) for r in latest_per_key(df, ["k"], ["ts"]).collect()} == {(None, 2, "b"), (1, None, "d")}
+    assert latest_per_key(df.limit(0), ["k"], ["ts"]).isEmpty()
+
+
 def test_bucketize_labels_and_ranks(spark):
     df = spark.createDataFrame([(0.0,), (4.99,), (5.0,), (49.9,), (50.0,), (None,)], "v double")
     label, rank, labels = bucketize("v", [5, 10, 50])
