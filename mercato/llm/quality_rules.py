@@ -92,7 +92,7 @@ def _score(kinds: list[Column], ratios: list[float]) -> Column:
 def _covered(ordered: Column) -> Column:
     """Words inside windows that occur more than once; ``ordered``: a column of sorted (hash, start)."""
     neighbour = lambda x, k: F.coalesce(F.get(ordered, k)["h"] == x["h"], F.lit(False))
-    starts = F.array_sort(F.transform(F.filter(ordered, lambda x, k: neighbour(x, k - 1) | neighbour(x, k + 1)), lambda x: x["i"]))
+    starts = F.sort_array(F.transform(F.filter(ordered, lambda x, k: neighbour(x, k - 1) | neighbour(x, k + 1)), lambda x: x["i"]))
 
     def grow(a, i):
         upto = i + WINDOW
@@ -103,27 +103,31 @@ def _covered(ordered: Column) -> Column:
 
 def quality_features(df: DataFrame, text: str = "text", ratios: list[float] | None = None, order: int = 1) -> DataFrame:
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and llr added."""
-    body, hashes, two, four, wins, ordered = private(df, "_body", "_hashes", "_two", "_four", "_wins", "_ordered")
-    out = df.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumn(hashes, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)))
-    h, t = F.col(hashes), F.col(body)
-    # hashes of the runs of two, four, then eight words that start at each word
-    out = out.withColumn(two, _joined(h, 1)).withColumn(four, _joined(F.col(two), 2))
-    out = out.withColumn(wins, F.when(F.size(h) >= WINDOW, F.slice(_joined(F.col(four), 4), 1, F.size(h) - (WINDOW - 1))).otherwise(F.array().cast("array<bigint>")))
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0)
-    wn = F.col(wins)
-    pairs = F.transform(wn, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    out = out.withColumn(ordered, F.when(F.size(F.array_distinct(wn)) < F.size(wn), F.array_sort(pairs)))
-    repeated = F.when(F.col(ordered).isNotNull(), _covered(F.col(ordered))).otherwise(F.lit(0).cast("long"))
+    body, own, rows, hashes, two, wins, ordered = private(df, "_body", "_own", "_rows", "_hashes", "_two", "_wins", "_ordered")
+    # Strings and their arrays are dropped where they are last read: every later projection would copy them.
+    out = df.withColumns({body: F.coalesce(F.col(text), F.lit("")), own: words(F.col(text))})
+    t, h = F.col(body), F.col(hashes)
+    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(GAP_CHARS)) != "")
     out = out.withColumns(
         {
-            "n_words": F.size(h).cast("long"),
-            "word_chars": F.length(F.translate(t, GAP_CHARS, "")).cast("long"),
-            "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": F.when(F.instr(t, "\n") > 0, F.size(lines) - F.size(F.array_distinct(lines))).otherwise(0).cast("long"),
-            "n_repeat_words": repeated,
-            "llr": _score([h, _pairs(F.col(two))][:order], ratios) if ratios is not None else F.lit(0.0),
+            "word_chars": F.length(F.array_join(own, "")).cast("long"),
+            "n_symbols": F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long"),
+            hashes: F.transform(own, lambda w: F.xxhash64(w)),
+            rows: F.when(F.instr(t, "\n") > 0, lines),
         }
-    ).drop(body, hashes, two, four, wins, ordered)
+    ).drop(body, own)
+    repeated_lines = F.when(F.col(rows).isNotNull(), F.size(rows) - F.size(F.array_distinct(rows))).otherwise(0).cast("long")
+    out = out.withColumns({"n_words": F.size(h).cast("long"), "n_dup_lines": repeated_lines, two: _joined(h, 1)}).drop(rows)
+    # hashes of the runs of four, then eight words that start at each word
+    eight = F.element_at(F.transform(F.array(_joined(F.col(two), 2)), lambda four: _joined(four, 4)), 1)
+    eight = F.when(F.size(h) >= WINDOW, F.slice(eight, F.lit(1), F.size(h) - (WINDOW - 1))).otherwise(F.array().cast("array<bigint>"))
+    llr = _score([h, _pairs(F.col(two))][:order], ratios) if ratios is not None else F.lit(0.0)
+    out = out.withColumns({wins: eight, "llr": llr}).drop(hashes, two)
+    wn = F.col(wins)
+    pairs = F.transform(wn, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    out = out.withColumn(ordered, F.when(F.size(F.array_distinct(wn)) < F.size(wn), F.sort_array(pairs))).drop(wins)
+    repeated = F.when(F.col(ordered).isNotNull(), _covered(F.col(ordered))).otherwise(F.lit(0).cast("long"))
+    out = out.withColumn("n_repeat_words", repeated).drop(ordered)
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT))
 
 
