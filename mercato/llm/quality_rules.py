@@ -64,7 +64,8 @@ def likelihood_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
         each = each.withColumn("two", _joined(F.col("one"), 1))
         cells = F.concat(cells, F.transform(_pairs(F.col("two")), lambda h: (F.lit(-1) - _cell(h, buckets)).cast("smallint")))
     each = each.select("own_id", cells.alias("cells")).join(trust.hint("merge"), F.col("own_id") == F.col("label_id"), "left")
-    each = each.select(F.coalesce("trusted", F.lit(0)).alias("t"), F.explode("cells").alias("cell"))
+    # the outer form: for the plain one Spark infers a filter on the array's size, which computes all cells twice
+    each = each.select(F.coalesce("trusted", F.lit(0)).alias("t"), F.explode_outer("cells").alias("cell")).where("cell IS NOT NULL")
     counts = {r.cell: (r.target, r.raw) for r in each.groupBy("cell").agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect()}
     out: list[float] = []
     for own in (range(buckets), range(-1, -1 - buckets, -1))[:order]:
