@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import money_sum, rate_pct, round_half_up
-from mercato.operators import (distinct_rows, global_rank, latest_per_key, ntile_from_rank,
-                               share_of_total, topk, topk_semi_join, using_left)
+from mercato.operators import (distinct_rollup, distinct_rows, global_rank, latest_per_key,
+                               ntile_from_rank, share_of_total, topk, topk_semi_join, using_left)
 from mercato.operators.ranking import write_scratch_table
 from mercato.plans import analyses as A
 from mercato.plans.layers import Layers
@@ -133,6 +133,14 @@ def op_count_distinct(p: Layers) -> DataFrame:
         F.countDistinct("seller_id").alias("active_sellers"))
 
 
+def op_distinct_rollup(p: Layers) -> DataFrame:
+    """Active sellers of a category by month, by year and over all time, from one state a seller."""
+    j = (p.int_order_items_enriched.select(F.col("product_category_name_en").alias("category"),
+                                           "order_id", "seller_id")
+         .join(_delivered(p).select("order_id", "purchase_month"), "order_id"))
+    return distinct_rollup(j, ["category"], "seller_id", "purchase_month", "active_sellers")
+
+
 def op_two_level_agg(p: Layers) -> DataFrame:
     first = _delivered(p).groupBy("customer_unique_id").agg(
         F.min("purchase_month").alias("cohort_month"),
