@@ -46,7 +46,8 @@ from mercato.llm.shared_hashes import ASKED, SAID, answer, answers, arrow_table,
 SHINGLE, PERCENT = 5, 80
 #: The sketch: rows, cells of a row, and the slices that travel.
 SKETCH_ROWS, SKETCH_CELLS, SLICES = 2, 1 << 18, 64
-REMEMBERED = 2_000_000
+#: Words whose hashes a worker keeps, some 150 bytes each.
+REMEMBERED = 250_000
 BATCH_BYTES = 4 << 20
 #: Nodes are dealt into chunks of about so many prefix tokens.
 CHUNK_TOKENS = 1 << 19
