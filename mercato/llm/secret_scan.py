@@ -126,15 +126,19 @@ def span_text(spans: Column) -> Column:
 def secret_scan(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataFrame:
     """``df`` with n_assign, n_access, n_hex, base_spans and spans (arrays of start, kind, upto) added.
 
-    The patterns run once; their spans are written to the shared folder before the join.
+    The patterns run once; their spans are written to the shared folder before the join. Texts that stay
+    are not written with them: ``df`` is read a second time and meets its spans by the hash of its text,
+    so a text is dealt out once, whatever share of the texts holds secrets. ``df`` must give the same
+    texts both times.
     """
-    body, ma, mk, mh, mw, weak, key = private(df, "_body", "_ma", "_mk", "_mh", "_mw", "_weak", "_key")
+    body, ma, mk, mh, mw, sure, weak, key = private(df, "_body", "_ma", "_mk", "_mh", "_mw", "_sure", "_weak", "_key")
     t = F.col(body)
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
     out = df.withColumn(body, F.coalesce(F.col(text), F.lit("")))
-    out = out.withColumns({ma: _matches(t, ASSIGN, 2), mk: _matches(t, ACCESS), mh: _matches(t, HEX), mw: _matches(t, WEAK, 3), key: F.sha2(t.cast("binary"), 256)})
+    out = out.withColumns({ma: _matches(t, ASSIGN, 2), mk: _matches(t, ACCESS), mh: _matches(t, HEX), mw: _matches(t, WEAK, 3), key: digest(t)})
     long_as = lambda least: lambda m: m["upto"] - m["start"] >= least
     short = lambda low, high: lambda m: (m["upto"] - m["start"] >= low) & (m["upto"] - m["start"] < high)
-    sure = F.array_sort(
+    certain = F.array_sort(
         F.concat(
             _spans(F.col(ma), lambda m: F.length(m["g2"]) >= ASSIGN_VALUE, lambda m: F.lit(0)),
             _spans(F.col(mk), long_as(ACCESS_LENGTH), lambda m: F.lit(1)),
@@ -147,19 +151,23 @@ def secret_scan(df: DataFrame, text: str = "text", drop_text: bool = False) -> D
         _spans(F.col(mh), short(0, HEX_LENGTH), lambda m: F.lit(4)),
         _spans(F.col(mw), lambda m: m["upto"] > m["start"], named),
     )
-    out = out.withColumns({"base_spans": sure, weak: maybe}).drop(body, ma, mk, mh, mw)
-    if drop_text:
-        out = out.drop(text)
-    out = written(out.withColumn(weak, F.when((F.size(weak) > 0) & (F.size("base_spans") > 0), _apart(F.col(weak), F.col("base_spans"))).otherwise(F.col(weak))), "secrets")
+    out = out.withColumns({sure: certain, weak: maybe})
+    out = out.drop(body, ma, mk, mh, mw, text) if drop_text else out.select(key, sure, weak)
+    out = written(out.withColumn(weak, F.when((F.size(weak) > 0) & (F.size(sure) > 0), _apart(F.col(weak), F.col(sure))).otherwise(F.col(weak))), "secrets")
 
     added, same = private(df, "_added", "_same")
-    linked = _linked(out.select(F.col(key).alias("key"), F.col("base_spans").alias("sure"), F.col(weak).alias("weak")))
+    linked = _linked(out.select(F.col(key).alias("key"), F.col(sure).alias("sure"), F.col(weak).alias("weak")))
     linked = linked.select(F.col("key").alias(same), F.col("spans").alias(added))
-    out = out.join(linked, F.col(key) == F.col(same), "left")
-    every = F.when(F.col(added).isNull(), F.col("base_spans")).otherwise(F.array_sort(F.concat("base_spans", added)))
-    count = lambda k: F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("long")
-    out = out.withColumns({"spans": every, "n_assign": count(0), "n_access": count(1), "n_hex": count(2)})
-    return out.drop(weak, key, added, same)
+    if not drop_text:  # one row a text
+        out = out.groupBy(key).agg(F.first(sure).alias(sure))
+    out = out.join(linked, F.col(key) == F.col(same), "left").drop(weak, same)
+    if not drop_text:
+        out = out.withColumnRenamed(key, same)
+        out = df.withColumn(key, digest(F.coalesce(F.col(text), F.lit("")))).join(out, F.col(key) == F.col(same), "left")
+    every = F.when(F.col(added).isNull(), F.col(sure)).otherwise(F.array_sort(F.concat(sure, added)))
+    count = lambda k: F.size(F.filter(sure, lambda s: s["kind"] == k)).cast("long")
+    out = out.withColumns({"base_spans": F.col(sure), "spans": every, "n_assign": count(0), "n_access": count(1), "n_hex": count(2)})
+    return out.drop(sure, key, added, same)
 
 
 def _linked(texts: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Secret scan against a brute-force version."""
 
 import hashlib
+import random
 import re
 import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -102,3 +104,20 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert secret_scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_are_not_written_with_their_spans(spark):
+    # random text that no codec shrinks; every text holds a credential in two parts
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("ghijklmnopqrstuvwxyz ", k=20_000)) + f" client_id: reader-{i} 0123456789abcdef01" for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "mine", 1) for i, t in enumerate(texts * 2)] + [(None, None, "mine", 1)], "doc_id long, text string, base_spans string, own int")
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(shared.glob("llm-secrets-*"))
+    got = secret_scan(docs)
+    new = set(shared.glob("llm-secrets-*")) - before
+    assert len(new) == 1
+    assert 0 < sum(f.stat().st_size for d in new for f in d.rglob("*.parquet")) < sum(map(len, texts)) / 20
+    assert got.columns == [*docs.columns, "spans", "n_assign", "n_access", "n_hex"]
+    rows = got.withColumns({"b": span_text(F.col("base_spans")), "s": span_text(F.col("spans"))}).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.own, r.b, r.s) for r in rows) == sorted((i is None, i, 1, *brute(t)) for i, t in [*enumerate(texts * 2), (None, None)])
+    assert all(r.s for r in rows if r.doc_id is not None)
