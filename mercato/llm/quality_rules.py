@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import GAP_CHARS, private, words
+from mercato.llm.common import GAP_CHARS, private, shuffles_removed, words
 
 BUCKETS = 1 << 15
 #: Words and pairs; ``PAIR_THRESHOLD`` is set for their score, ``THRESHOLD`` for that of words alone.
@@ -66,7 +66,8 @@ def likelihood_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
     each = each.select("own_id", cells.alias("cells")).join(trust.hint("merge"), F.col("own_id") == F.col("label_id"), "left")
     # the outer form: for the plain one Spark infers a filter on the array's size, which computes all cells twice
     each = each.select(F.coalesce("trusted", F.lit(0)).alias("t"), F.explode_outer("cells").alias("cell")).where("cell IS NOT NULL")
-    counts = {r.cell: (r.target, r.raw) for r in each.groupBy("cell").agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect()}
+    with shuffles_removed(docs.sparkSession):
+        counts = {r.cell: (r.target, r.raw) for r in each.groupBy("cell").agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect()}
     out: list[float] = []
     for own in (range(buckets), range(-1, -1 - buckets, -1))[:order]:
         found = [counts.get(i, (0, 0)) for i in own]
